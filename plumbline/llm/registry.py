@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from plumbline.llm import bpe, tokencount
+from plumbline.llm import bpe, embeddings, simhash, tokencount
 
 
 def queries() -> dict:
     return {
+        "op2_simhash_components": simhash.op2_simhash_components,
+        "op3_embedding_components": embeddings.op3_embedding_components,
         "op7_bpe_round_trip": bpe.op7_bpe_round_trip,
         "op9_token_counts": tokencount.op9_token_counts,
     }
