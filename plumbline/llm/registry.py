@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from plumbline.llm import bpe, embeddings, simhash, tokencount
+from plumbline.llm import bpe, embeddings, langid, simhash, tokencount, urlrules, warc
 
 
 def queries() -> dict:
     return {
+        "op1_warc_round_trip": warc.op1_warc_round_trip,
         "op2_simhash_components": simhash.op2_simhash_components,
         "op3_embedding_components": embeddings.op3_embedding_components,
+        "op6_url_rules": urlrules.op6_url_rules,
         "op7_bpe_round_trip": bpe.op7_bpe_round_trip,
+        "op8_language_id": langid.op8_language_id,
         "op9_token_counts": tokencount.op9_token_counts,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_warc_round_trip": warc.ORACLE, "op6_url_rules": urlrules.ORACLE}
