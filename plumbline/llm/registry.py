@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from plumbline.llm import bpe, embeddings, langid, simhash, tokencount, urlrules, warc
+from plumbline.llm import bpe, decontam, embeddings, langid, simhash, templates, tokencount, urlrules, warc
 
 
 def queries() -> dict:
@@ -10,6 +10,8 @@ def queries() -> dict:
         "op1_warc_round_trip": warc.op1_warc_round_trip,
         "op2_simhash_components": simhash.op2_simhash_components,
         "op3_embedding_components": embeddings.op3_embedding_components,
+        "op4_line_templates": templates.op4_line_templates,
+        "op5_benchmark_leaks": decontam.op5_benchmark_leaks,
         "op6_url_rules": urlrules.op6_url_rules,
         "op7_bpe_round_trip": bpe.op7_bpe_round_trip,
         "op8_language_id": langid.op8_language_id,
