@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from plumbline.llm.bpe import encode_decode
 from plumbline.llm.decontam import without_leaks
 from plumbline.llm.langid import identify, learn
-from plumbline.llm.simhash import simhash_components
+from plumbline.llm.simhash import near_components
 from plumbline.llm.store import materialize, table
 from plumbline.llm.templates import drop_recurring_lines
 
@@ -32,10 +32,11 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near-equal fingerprints of shingles of five words the document of the smallest id stays; of its repeated rows one. Documents without id stay if nothing is near."""
-    found = simhash_components(docs, width=5).select(F.col("doc_id").alias("__id"), F.col("component_id").alias("__component")).distinct()
-    lead = found.where(F.col("__id").eqNullSafe(F.col("__component"))).select("__id")
-    return docs.join(lead, docs["doc_id"].eqNullSafe(lead["__id"]), "left_semi").dropDuplicates(["doc_id"])
+    """Of each component of documents with similarity 0.8 or more, by shingles of five words, that of the smallest id stays; of its rows with equal text one. Documents without id all stay."""
+    found = near_components(docs.where("doc_id is not null"))
+    lead = found.where("doc_id = component_id").select("doc_id").distinct()
+    named = docs.join(lead, "doc_id", "left_semi").withColumn("__body", F.xxhash64("text")).dropDuplicates(["doc_id", "__body"])
+    return named.select(docs.columns).unionAll(docs.where("doc_id is null"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from plumbline.llm import bpe, decontam, embeddings, langid, simhash, templates, tokencount, urlrules, warc
+from plumbline.llm import bpe, decontam, embeddings, langid, pii, simhash, templates, tokencount, urlrules, warc
 
 
 def queries() -> dict:
@@ -16,6 +16,7 @@ def queries() -> dict:
         "op7_bpe_round_trip": bpe.op7_bpe_round_trip,
         "op8_language_id": langid.op8_language_id,
         "op9_token_counts": tokencount.op9_token_counts,
+        "op10_pii_surrogates": pii.op10_pii_surrogates,
     }
 
 

@@ -116,3 +116,24 @@ def test_documents_of_every_kind(spark):
     assert {i: {r.component_id for r in rs} for i, rs in by.items() if i is not None} == {i: {c} for i, c in want.items()}
     assert by[None][0].component_id == 3 and want[20] == 20 and want[22] == 20 and want[31] == 30
     assert simhash_components(docs.limit(0)).count() == 0
+
+
+def test_similar_texts_meet_and_others_stay(spark):
+    from plumbline.llm.simhash import near_components
+
+    rng = random.Random(17)
+    rows, want = [], {}
+    for g in range(60):
+        base = [f"w{rng.randrange(99999)}" for _ in range(300)]
+        for k in range(4):
+            text = list(base)
+            for _ in range(k):
+                text[rng.randrange(300)] = "edited"  # an edit changes 5 of 296 shingles: similarity over 0.9
+            rows.append((g * 10 + k, " ".join(text)))
+            want[g * 10 + k] = g * 10
+    rows += [(1000, "short one"), (1001, None), (1002, ""), (None, rows[0][1])]
+    want |= {1000: 1000, 1001: 1001, 1002: 1001, None: 0}
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for crowd in (1024, 3):
+        assert {r.doc_id: r.component_id for r in near_components(df, crowd=crowd).collect()} == want
+    assert near_components(df.limit(0)).count() == 0
