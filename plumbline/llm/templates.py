@@ -27,29 +27,33 @@ def _tokens(line: Column) -> Column:
 
 
 def _parsed(docs: DataFrame, depth: int) -> DataFrame:
-    """(doc, body, pos, tokens, n, leaf, t1, t2) for each line; body identifies the text, t1 and t2 the masked line."""
+    """(doc, body, pos, tokens, n, leaf, t) for each line; body identifies the text, leaf and t the masked line."""
     lines = docs.select("doc", "body", F.posexplode(_lines(F.col("text"))).alias("pos", "line"))
     told = lines.select("doc", "body", "pos", _tokens(F.col("line")).alias("tokens")).withColumn("n", F.size("tokens"))
-    told = told.withColumn("leaf", F.xxhash64("n", F.slice("tokens", 1, depth)))
-    return told.withColumn("t1", F.xxhash64("tokens", F.lit(1))).withColumn("t2", F.xxhash64(F.lit(2), "tokens"))
-
-
-def generalised(parsed: DataFrame, shared: float, least_tokens: int) -> DataFrame:
-    """(t1, t2, g1, g2): for masked lines of at least least_tokens in leaves that hold several, the template that generalises them, where it differs."""
-    long = parsed.where(F.col("n") >= least_tokens)
-    leaves = long.groupBy("leaf").agg(F.min("t1").alias("a"), F.max("t1").alias("z"), F.min("doc").alias("d"), F.max("doc").alias("e")).where("a <> z and d <> e").select("leaf")
-    # Each different line once, with the span of its documents; copies end here.
-    own = long.join(leaves, "leaf", "left_semi").groupBy("leaf", "t1", "t2").agg(F.first("tokens").alias("tokens"), F.min("doc").alias("d"), F.max("doc").alias("e"))
-    at = own.select("leaf", "t1", "t2", "d", "e", F.posexplode("tokens").alias("p", "token"))
-    common = at.groupBy("leaf", "p", "token").agg(F.min("d").alias("d"), F.max("e").alias("e")).where("d <> e").select("leaf", "p", "token", F.lit(True).alias("common"))
+    return told.withColumn("leaf", F.xxhash64("n", F.slice("tokens", 1, depth))).withColumn("t", F.xxhash64("tokens", F.lit(1)))
+
+
+def generalised(parsed: DataFrame, lines: DataFrame, shared: float, least_tokens: int, most_broadcast: int = 500_000) -> DataFrame:
+    """(leaf, t, g): for masked lines of at least least_tokens in leaves that hold several, the template that generalises them.
+
+    lines: parsed without tokens, kept. Leaves with several lines are few; up to most_broadcast of them (16 bytes each) they
+    go to the lines, beyond that the lines are dealt by leaf.
+    """
+    told = lines.where(F.col("n") >= least_tokens).select("leaf", "t", F.xxhash64("doc").alias("d"))
+    leaves = told.groupBy("leaf").agg(F.min("t").alias("a"), F.max("t").alias("z"), F.min("d").alias("d"), F.max("d").alias("e")).where("a <> z and d <> e").select("leaf")
+    leaves = materialize(leaves, "leaves")
+    if leaves.count() <= most_broadcast:
+        leaves = F.broadcast(leaves)
+    # Each different line once, its tokens as hashes, with the span of its documents; copies end here.
+    long = parsed.where(F.col("n") >= least_tokens).join(leaves, "leaf", "left_semi")
+    long = long.select("leaf", "t", F.transform("tokens", lambda x: F.when(x != FIELD, F.xxhash64(x))).alias("tokens"), F.xxhash64("doc").alias("d"))
+    own = long.groupBy("leaf", "t").agg(F.first("tokens").alias("tokens"), F.min("d").alias("d"), F.max("d").alias("e"))
+    at = own.select("leaf", "t", "d", "e", F.posexplode("tokens").alias("p", "token"))
+    common = at.where("token is not null").groupBy("leaf", "p", "token").agg(F.min("d").alias("d"), F.max("e").alias("e")).where("d <> e").select("leaf", "p", "token", F.lit(True).alias("common"))
     at = at.drop("d", "e").join(common, ["leaf", "p", "token"], "left")
-    common_here = F.coalesce("common", F.lit(False))
-    made = at.groupBy("leaf", "t1", "t2").agg(
-        F.array_sort(F.collect_list(F.struct("p", F.when(common_here, F.col("token")).otherwise(FIELD).alias("token")))).alias("parts"),
-        F.avg((common_here & (F.col("token") != FIELD)).cast("int")).alias("share"),
-    )  # a group here is one line
-    made = made.where(F.col("share") >= shared).withColumn("tokens", F.col("parts.token"))
-    return made.select("t1", "t2", F.xxhash64("tokens", F.lit(1)).alias("g1"), F.xxhash64(F.lit(2), "tokens").alias("g2")).where("g1 <> t1")
+    # A group here is one line.
+    made = at.groupBy("leaf", "t").agg(F.array_sort(F.collect_list(F.struct("p", F.when(F.col("common"), F.col("token")).alias("token")))).alias("parts"), F.avg(F.coalesce("common", F.lit(False)).cast("int")).alias("share"))
+    return made.where(F.col("share") >= shared).select("leaf", "t", F.xxhash64(F.transform("parts", lambda x: F.coalesce(x["token"], F.lit(0).cast("long")))).alias("g"))
 
 
 def drop_recurring_lines(
@@ -69,18 +73,17 @@ def drop_recurring_lines(
     doc = F.struct(F.col(id_col).isNull().alias("x"), F.col(id_col).alias("id"))
     body = F.xxhash64(text_col)
     parsed = _parsed(docs.select(doc.alias("doc"), body.alias("body"), F.col(text_col).alias("text")), depth)
-    lines = materialize(parsed.select("doc", "body", "pos", "n", "t1", "t2"), "lines")
-    more = generalised(parsed, shared, long_tokens)
+    lines = materialize(parsed.select("doc", "body", "pos", "n", "leaf", "t"), "lines")
+    more = generalised(parsed, lines, shared, long_tokens)
     n_docs = docs.count()
     # A template's documents: first one row for each document that holds it, then their number.
-    held = lines.where("n > 0").groupBy("t1", "t2", "n", "doc").agg(F.count("*").alias("k"))
-    held = held.join(more, ["t1", "t2"], "left").select(F.coalesce("g1", "t1").alias("g1"), F.coalesce("g2", "t2").alias("g2"), "t1", "t2", "n", "doc")
-    held = materialize(held, "templates")
+    held = lines.where("n > 0").groupBy("leaf", "t", "n", "doc").agg(F.count("*").alias("k"))
+    held = materialize(held.join(more, ["leaf", "t"], "left").select("leaf", "t", "n", "doc", F.coalesce("g", "t").alias("g")), "templates")
     need = F.when(F.col("n") >= long_tokens, long_docs).when(F.col("n") >= short_tokens, mid_docs).otherwise(max(short_docs, int(short_share * n_docs)))
-    stands = held.select("g1", "g2", "n", "doc").distinct().groupBy("g1", "g2", "n").agg(F.count("*").alias("docs"), F.min("doc").alias("first")).where(F.col("docs") >= need)
-    doomed = held.join(stands.select("g1", "g2", "first"), ["g1", "g2"]).where("doc <> first").select("t1", "t2", "doc")
+    stands = held.select("leaf", "g", "n", "doc").distinct().groupBy("leaf", "g", "n").agg(F.count("*").alias("docs"), F.min("doc").alias("first")).where(F.col("docs") >= need)
+    doomed = held.join(stands.select("leaf", "g", "first"), ["leaf", "g"]).where("doc <> first").select("leaf", "t", "doc")
     # The flags of a document's lines in order, so that filtering is one lookup a line however many go.
-    told = lines.join(doomed.withColumn("gone", F.lit(True)), ["t1", "t2", "doc"], "left").select("doc", "body", "pos", F.coalesce("gone", F.lit(False)).alias("gone"))
+    told = lines.join(doomed.withColumn("gone", F.lit(True)), ["leaf", "t", "doc"], "left").select("doc", "body", "pos", F.coalesce("gone", F.lit(False)).alias("gone"))
     flags = told.groupBy("doc", "body").agg(F.array_sort(F.collect_set(F.struct("pos", "gone"))).alias("f"), F.max("gone").alias("some")).where("some")
     flags = flags.select(F.col("doc").alias("__doc"), F.col("body").alias("__body"), F.col("f.gone").alias("__gone"))
     keyed = docs.select(*cols).withColumn("__doc", doc).withColumn("__body", body)
