@@ -18,7 +18,7 @@ from plumbline.functions.arrow import vectorized
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 SKIPPED = {"script", "style", "noscript", "template"}
 BLOCKS = {"p", "div", "li", "tr", "section", "article", "table", "ul", "ol", "h1", "h2", "h3", "h4", "h5", "h6", "br", "nav", "header", "footer", "main", "dl", "dt", "dd", "pre", "blockquote"}
-NOISE = re.compile(r"(?i)(?:^|[\s_-])(?:ad|ads|advert|banner|cookie|popup|breadcrumbs?|share|social|related|comments?)(?:$|[\s_-])")
+NOISE = re.compile(r"(?iu)(?:^|[\s_-])(?:ad|ads|advert|banner|cookie|popup|breadcrumbs?|share|social|related|comments?)(?:$|[\s_-])")
 VOLATILE_ATTRS = {"nonce", "integrity", "style", "id"}
 FEATURES = """title string, h1 string, lang string, canonical string, og_url string, description string, base string,
  links array<struct<href:string,text:string,pos:int>>, n_links int, n_images int, n_tables int, n_forms int, n_scripts int, n_styles int,
@@ -141,7 +141,7 @@ def features(html: str | None) -> dict:
             v = n.attrs.get(name)
             m = re.search(r"""(?:location(?:\.href)?\s*=\s*|window\.open\()\s*['"]([^'"]+)""", v) if v and name == "onclick" else None
             url = m[1] if m else v if v and name != "onclick" else None
-            if url and not re.search(r"(?i)add.?to.?cart|basket|korzina", url):
+            if url and not re.search(r"(?iu)add.?to.?cart|basket|korzina", url):
                 out["onclick"].append(url)
     out["og_url"], out["description"] = out["meta"].get("og:url"), out["meta"].get("description")
     out |= {"n_links": counts["a"], "n_images": counts["img"], "n_tables": counts["table"], "n_forms": counts["form"], "n_scripts": counts["script"], "n_styles": counts["style"]}
@@ -360,8 +360,8 @@ def product_data(html: pd.Series) -> pd.DataFrame:
 
 def links_of(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
     """id, pos, href, url (absolute), text: one row for each link, without page-internal, script and mail links."""
-    f = pages.select(id_col, url_col, page_features(F.col(html_col)).alias("f")).select(id_col, F.coalesce("f.base", F.col(url_col)).alias("__b"), F.explode("f.links").alias("l"))
-    kept = f.where(~F.col("l.href").rlike(r"^(?i)(?:#|javascript:|mailto:|tel:)"))
+    f = pages.select(id_col, url_col, page_features(F.col(html_col)).alias("f")).select(id_col, absolute_url(F.col(url_col), F.coalesce("f.base", F.col(url_col))).alias("__b"), F.explode("f.links").alias("l"))
+    kept = f.where(~F.col("l.href").rlike(r"^(?iu)(?:#|javascript:|mailto:|tel:)"))
     return kept.select(id_col, F.col("l.pos").alias("pos"), F.col("l.href").alias("href"), absolute_url(F.col("__b"), F.col("l.href")).alias("url"), F.col("l.text").alias("text"))
 
 

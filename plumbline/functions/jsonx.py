@@ -13,7 +13,7 @@ from plumbline.functions.arrow import vectorized
 
 #: Fixed value: what a model answers for a page that is no product.
 TRASH = "Trash_418#"
-PRICE_KEY = re.compile(r"(?i)цен[аыу]|стоимост|прайс|руб|price|cost")
+PRICE_KEY = re.compile(r"(?iu)цен[аыу]|стоимост|прайс|руб|price|cost")
 
 
 class _Twice(ValueError):
@@ -151,7 +151,7 @@ def canonical_json(text: Column) -> Column:
 @vectorized("int")
 def numeric_characteristics(text: pd.Series) -> pd.Series:
     """How many leaves of nested specifications hold a number; keys of certificates, codes and links don't count."""
-    skip = re.compile(r"(?i)гост|сертификат|артикул|код|sku|url|ссылк|телефон")
+    skip = re.compile(r"(?iu)гост|сертификат|артикул|код|sku|url|ссылк|телефон")
 
     def count(v, key=""):
         if skip.search(key):

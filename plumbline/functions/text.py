@@ -136,7 +136,7 @@ def error_module(message: Column) -> Column:
 
 def http_status(message: Column) -> Column:
     """The HTTP status named in an error text, or null."""
-    tries = [r"(?i)\bHTTP[/ ]?(?:\d\.\d\s+)?([1-5]\d\d)\b", r"(?i)\bstatus(?:[ _]code)?[ :=]+([1-5]\d\d)\b", r"(?i)\berror[ :]+([1-5]\d\d)\b"]
+    tries = [r"(?iu)\bHTTP[/ ]?(?:\d\.\d\s+)?([1-5]\d\d)\b", r"(?iu)\bstatus(?:[ _]code)?[ :=]+([1-5]\d\d)\b", r"(?iu)\berror[ :]+([1-5]\d\d)\b"]
     return F.coalesce(*[F.nullif(F.regexp_extract(F.coalesce(message, F.lit("")), p, 1), F.lit("")) for p in tries]).cast("int")
 
 
@@ -178,12 +178,12 @@ def challenged(status: Column, headers: Column, html: Column) -> Column:
 
 def soft_error(title: Column, heading: Column, body: Column) -> Column:
     """Whether a page with status 200 says that there is nothing: by title or heading, or by the text if it is short."""
-    words = r"(?i)\b404\b|not found|не найден|страница отсутствует|page does not exist|ошибка 4\d\d"
+    words = r"(?iu)\b404\b|not found|не найден|страница отсутствует|page does not exist|ошибка 4\d\d"
     return F.coalesce(title.rlike(words), F.lit(False)) | F.coalesce(heading.rlike(words), F.lit(False)) | F.coalesce((F.length(body) <= 160) & body.rlike(words), F.lit(False))
 
 
 def region_prefix_free(s: Column) -> Column:
-    return F.regexp_replace(s, r"^(?i)(?:центральный офис|головной офис|head office)\s*[:–-]\s*", "")
+    return F.regexp_replace(s, r"^(?iu)(?:центральный офис|головной офис|head office)\s*[:–-]\s*", "")
 
 
 def head_office(items: Column) -> Column:

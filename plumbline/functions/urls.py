@@ -121,7 +121,7 @@ def normalized(u: Url) -> Column:
 
 
 def scheme_free(key: Column) -> Column:
-    return F.regexp_replace(key, r"^(?i)https?://", "")
+    return F.regexp_replace(key, r"^(?iu)https?://", "")
 
 
 def page_over_limit(u: Url) -> Column:
@@ -289,7 +289,7 @@ def rejection(u: Url, category: Column, depth_limit: int = 6, base_host: Column
 def site_url(text: Column) -> Column:
     """A site's address with https:// where no scheme is written; null without a dot or with blanks."""
     t = F.trim(text)
-    full = F.when(t.rlike(r"^(?i)https?://"), t).otherwise(F.concat(F.lit("https://"), t))
+    full = F.when(t.rlike(r"^(?iu)https?://"), t).otherwise(F.concat(F.lit("https://"), t))
     return F.when((t != "") & ~t.rlike(r"\s") & Url(full).host.contains("."), full)
 
 

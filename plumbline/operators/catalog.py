@@ -95,7 +95,7 @@ def compact_tables(cells: DataFrame, by: list[str], most_rows: int = 20, least_c
 
 def column_kinds(headers: Column) -> Column:
     """What a column of a source table holds: price, standard, note or value."""
-    return F.when(headers.rlike(r"(?i)цена|стоимость|руб|price|€|\$"), "price").when(headers.rlike(r"(?i)гост|ту |стандарт|норматив|standard"), "standard").when(headers.rlike(r"(?i)примечан|комментар|note"), "note").otherwise("value")
+    return F.when(headers.rlike(r"(?iu)цена|стоимость|руб|price|€|\$"), "price").when(headers.rlike(r"(?iu)гост|ту |стандарт|норматив|standard"), "standard").when(headers.rlike(r"(?iu)примечан|комментар|note"), "note").otherwise("value")
 
 
 def without_document_titles(lines: DataFrame, titles: DataFrame, by: str, line: str = "line", title: str = "title") -> DataFrame:
@@ -107,7 +107,7 @@ def without_document_titles(lines: DataFrame, titles: DataFrame, by: str, line:
 
 def routed_lines(df: DataFrame, line: str = "line") -> DataFrame:
     """Labelled lines with the product field that they belong to."""
-    field = F.when(F.col(line).rlike(r"(?i)^\s*(?:применение|область применения)\s*:"), "application").when(F.col(line).rlike(r"(?i)^\s*(?:упаковка|фасовка|на палл?ете)\s*:"), "packaging").when(F.col(line).rlike(r"(?i)^\s*(?:цвет[а]?|палитра)\s*:"), "colors").when(F.col(line).rlike(r"(?i)^\s*(?:гарантия)\s*:"), "warranty").otherwise("description")
+    field = F.when(F.col(line).rlike(r"(?iu)^\s*(?:применение|область применения)\s*:"), "application").when(F.col(line).rlike(r"(?iu)^\s*(?:упаковка|фасовка|на палл?ете)\s*:"), "packaging").when(F.col(line).rlike(r"(?iu)^\s*(?:цвет[а]?|палитра)\s*:"), "colors").when(F.col(line).rlike(r"(?iu)^\s*(?:гарантия)\s*:"), "warranty").otherwise("description")
     return df.withColumn("field", field).withColumn("value", F.when(F.col("field") != "description", F.trim(F.regexp_replace(line, r"^[^:]*:\s*", ""))).otherwise(F.trim(line)))
 
 
