@@ -9,7 +9,7 @@ from pathlib import Path
 import numpy as np
 
 #: White_Space of Unicode, which the pattern's \s stands for.
-SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
+SPACE = "\t\n\x0b\x0c\r \x85\xa0" + "".join(map(chr, (0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 #: Fixed value: the pre-token pattern, with \s written out.
 PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 

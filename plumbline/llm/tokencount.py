@@ -23,16 +23,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm.bytelevel import default_path, vocabulary
+from plumbline.llm.bytelevel import SPACE, default_path, vocabulary
 from plumbline.llm.store import small_batches, table
 
-#: White_Space of Unicode.
-WHITE = {*"\t\n\x0b\x0c\r \x85\xa0                　"}
 
 
 @lru_cache(1 << 16)
 def kind_of(char: str) -> str:
-    if char in WHITE:
+    if char in SPACE:
         return "W"
     try:
         import regex
