@@ -47,7 +47,7 @@ def generalised(parsed: DataFrame, lines: DataFrame, shared: float, least_tokens
     # Each different line once, its tokens as hashes, with the span of its documents; copies end here.
     long = parsed.where(F.col("n") >= least_tokens).join(leaves, "leaf", "left_semi")
     long = long.select("leaf", "t", F.transform("tokens", lambda x: F.when(x != FIELD, F.xxhash64(x))).alias("tokens"), F.xxhash64("doc").alias("d"))
-    own = long.groupBy("leaf", "t").agg(F.first("tokens").alias("tokens"), F.min("d").alias("d"), F.max("d").alias("e"))
+    own = materialize(long.groupBy("leaf", "t").agg(F.first("tokens").alias("tokens"), F.min("d").alias("d"), F.max("d").alias("e")), "leaf-lines")
     at = own.select("leaf", "t", "d", "e", F.posexplode("tokens").alias("p", "token"))
     common = at.where("token is not null").groupBy("leaf", "p", "token").agg(F.min("d").alias("d"), F.max("e").alias("e")).where("d <> e").select("leaf", "p", "token", F.lit(True).alias("common"))
     at = at.drop("d", "e").join(common, ["leaf", "p", "token"], "left")
