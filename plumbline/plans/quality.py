@@ -181,3 +181,46 @@ def size_variants(t):
 @query("""SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey)::INT AS turn FROM orders""")
 def interleaved_queue(t):
     return ranking.interleaved(t("orders"), "o_orderstatus", ["o_orderkey"]).select("o_custkey", "o_orderkey", "turn")
+
+
+_HOST = r"lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]*)', 1))"
+
+
+@query(f"SELECT page_id, regexp_replace(regexp_replace({_HOST}, '^www\\.', ''), '^(m|mobile|touch)\\.', '') = 'tionsh.example.net' OR regexp_matches({_HOST}, '(^|\\.)example\\.org$') AS in_scope FROM pages")
+def url_scope(t):
+    from plumbline.operators import sites
+
+    return sites.in_scope(t("pages").select("page_id", "url"), "www.tionsh.example.net", suffixes=["example.org"]).select("page_id", "in_scope")
+
+
+@query()
+def canonical_urls(t):
+    from plumbline.operators import sites
+
+    return sites.canonical_urls(t("pages"), "page_id", "url", "html")
+
+
+@query()
+def sitemap_admission(t):
+    from plumbline.functions import urls as U
+    from plumbline.operators import sites
+
+    p = t("pages").select("page_id", "url", U.registrable_domain(U.Url(F.col("url")).host).alias("site"), F.lit(9).alias("priority"))
+    return sites.sitemap_admission(p, 20).select("page_id", "site", "rank", "admitted")
+
+
+@query(f"""WITH p AS (SELECT page_id, page_id % 3 AS map_id, page_id AS pos, page_id % 7 AS priority, {_HOST} AS h FROM pages) SELECT h AS normalized_url, arg_min(page_id, (-priority, map_id, pos)) AS page_id FROM p GROUP BY 1""")
+def merged_sitemaps(t):
+    from plumbline.functions import urls as U
+    from plumbline.operators import sites
+
+    p = t("pages").select("page_id", (F.col("page_id") % 3).alias("map_id"), F.col("page_id").alias("pos"), "url", U.Url(F.col("url")).host.alias("normalized_url"), (F.col("page_id") % 7).alias("priority"))
+    return sites.merged_sitemaps(p).select("normalized_url", "page_id")
+
+
+@query("SELECT event_type AS source, count(*) AS files, sum(event_id)::BIGINT AS bytes, bool_and(user_id <> 3) AS allowed FROM events GROUP BY 1")
+def purge_plan(t):
+    from plumbline.operators import sites
+
+    e = t("events").select(F.col("user_id").alias("company_id"), F.col("event_type").alias("source"), F.col("event_id").alias("size"), F.lit("/data/x").alias("path"))
+    return sites.purge_plan(e, e.sparkSession.createDataFrame([(3,)], "company_id long"), "/data")
