@@ -121,7 +121,10 @@ def test_nested_json(spark):
     assert column(spark, [specs, None, "bad"], jsonx.flat_specs()) == [{"a > b": "1", "a > цена": "5", "c": "1; x", "d": "", "ГОСТ": "123"}, {}, {}]
     assert json.loads(column(spark, [specs], jsonx.without_prices)[0]) == {"a": {"b": 1}, "c": [1, "x"], "d": {}, "ГОСТ": "123"}
     assert json.loads(column(spark, ['{"x": 1, "y": {"x": 2, "z": 3}}'], jsonx.renamed({"x": "z"}))[0]) == {"z": 1, "y": {"x": 2, "z": 3}}
-    assert column(spark, [specs, "", None], jsonx.numeric_characteristics) == [3, 0, 0]
+    assert column(spark, [specs, "", None, "bad"], jsonx.numeric_characteristics) == [2, 0, 0, 0]
+    cases = {"Размер": ("390×90x188 мм", 3), "Масса": ("12×3", 1), "Плотность (ГОСТ 1)": ("5", 1), "Цена": ("5", 0), "Ширина": ("RAL 9003", 0), "Вес": ("5 руб", 0), "Длина": (["1", "2×3"], 2), "Упаковка": ({"Высота": "5"}, 0), "Материал": ("Ст3", 0), "Слои": ([{"a": "1"}, {"b": "2"}], 2)}
+    for key, (value, want) in cases.items():
+        assert jsonx.numbers_in({key: value}) == want, key
     chunks = column(spark, ["p\n\n" * 60_000], jsonx.chunked)[0]
     assert "".join(chunks) == "p\n\n" * 60_000 and max(map(len, chunks)) <= 160_000 and len(chunks) == 2
 
