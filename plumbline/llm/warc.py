@@ -159,7 +159,7 @@ def write_archives(pages: DataFrame, *, least_bytes: int = 0, archive_bytes: int
     target field. Archives hold about archive_bytes of records, one record at least. The empty table gives no archives.
     """
     kind = pages.schema["page_id"].dataType.simpleString()
-    small_batches(pages.sparkSession, 1000)
+    small_batches(pages.sparkSession)
     payload = F.encode(F.coalesce("html", F.lit("")), "utf-8")
     rows = pages.select("page_id", "url", payload.alias("payload")).withColumn("digest", F.sha1("payload"))
     # Only payloads that occur more than once are joined back; the minimum is a partial aggregate, so a hot payload meets no single task.
@@ -200,7 +200,7 @@ def read_archives(archives: DataFrame, *, id_type: str = "bigint", with_payload:
     schema = RECORD.format(kind=id_type)
     names = [x.split()[0] for x in schema.split(", ")]
     name = "archive" if "archive" in archives.columns else "path"
-    archives.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "8")
+    small_batches(archives.sparkSession)
 
     def page(urn: str | None) -> int | None:
         m = re.fullmatch(r"<urn:page:(-?\d+)>", urn or "")
