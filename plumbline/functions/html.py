@@ -323,11 +323,10 @@ def product_data(html: pd.Series) -> pd.DataFrame:
                 stack = [json.loads(t)]
             except ValueError:
                 continue
-            seen = 0
-            while stack and seen < 10_000:
-                x, seen = stack.pop(0), seen + 1
+            while stack:  # depth first, in order
+                x = stack.pop()
                 if isinstance(x, list):
-                    stack = x + stack
+                    stack += reversed(x)
                 elif isinstance(x, dict):
                     if "Product" in (x.get("@type") if isinstance(x.get("@type"), list) else [x.get("@type")]):
                         offer = x.get("offers") or {}
@@ -336,7 +335,7 @@ def product_data(html: pd.Series) -> pd.DataFrame:
                         brand = x.get("brand")
                         brand = brand.get("name") if isinstance(brand, dict) else brand
                         return [x.get("name"), x.get("description"), offer.get("price"), offer.get("priceCurrency"), brand, x.get("sku"), "json_ld"]
-                    stack = list(x.values()) + stack
+                    stack += reversed(x.values())
         return None
 
     def one(h):

@@ -148,7 +148,7 @@ def foreign_language(u: Url, base_locale: str | None = None) -> Column:
     parts = F.split(F.lower(F.regexp_replace(u.path, "^/+|/+$", "")), "/")
     first = parts[0]
     by_first = (first.isin(LANGUAGES) | (first.contains("-") & F.substring_index(first, "-", 1).isin(LANGUAGES)) | (first.contains("_") & F.substring_index(first, "_", 1).isin(LANGUAGES))) & ~own(first)
-    by_rest = F.exists(F.slice(parts, 2, 999), lambda s: s.isin(LANGUAGE_SEGMENTS) & ~own(s))
+    by_rest = F.exists(F.slice(parts, 2, F.size(parts)), lambda s: s.isin(LANGUAGE_SEGMENTS) & ~own(s))
     by_query = F.exists(u.params, lambda p: F.substring_index(p, "=", 1).isin("lang", "language", "locale") & _locale_base(F.lower(F.substring_index(p, "=", -1))).isin(LANGUAGES))
     return F.coalesce(((F.size(labels) >= 3) & labels[0].isin(LANGUAGE_SEGMENTS)) | by_first | by_rest | by_query, F.lit(False))
 
