@@ -91,7 +91,7 @@ ASCII = r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\t-\r A-Za-z0-9]+|[\t
 class Encoder:
     """Encodes texts; keeps the encodings of at most `kept` pre-tokens beside those of the batch at hand."""
 
-    def __init__(self, path: str, kept: int = 500_000):
+    def __init__(self, path: str, kept: int = 200_000):
         import re
 
         import regex
