@@ -7,13 +7,16 @@ tree stays small; every choice finds the same links. A shard is a BK-tree: a nod
 distance to it, and a search follows only the edges within the radius. Trees are sent to their queries by the shuffle
 rather than by a broadcast, as all trees together grow with the corpus. A crowded shard is dealt in blocks: a
 tree for each block, and the other blocks as queries. Tasks return a spanning forest of the links that they find.
+
+near_components links by the Jaccard similarity itself, for which a fingerprint is only an estimate: a prefix filter
+finds all candidates, and each is verified on the whole sets of shingles.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from fractions import Fraction
 from itertools import combinations
-from math import acos, ceil, log, log2, pi
 
 import numpy as np
 import pyarrow as pa
@@ -216,41 +219,176 @@ def near_links(fps: DataFrame, radius: int = 4, per_shard: int = 128, crowd: int
     return shard_links(dealt, radius, crowd)
 
 
-def share_of_bits(similarity: float) -> float:
-    """The share of bits in which fingerprints differ on average, of sets of shingles with this Jaccard similarity."""
-    return acos(2 * similarity / (1 + similarity)) / pi
+def shingles(text: str | None, width: int = 5, seed: int = 42) -> np.ndarray:
+    """The sorted different 64-bit hashes of a text's shingles; a text of at most `width` words is one shingle, one without words none."""
+    from xxhash import xxh64_intdigest as digest
+
+    tokens = (text or "").encode().lower().split()
+    if not tokens:
+        return np.empty(0, np.int64)
+    joined = b" ".join(tokens)
+    if len(tokens) <= width:
+        found = [digest(joined, seed)]
+    else:
+        length = np.fromiter(map(len, tokens), np.int64, len(tokens))
+        end = np.cumsum(length + 1) - 1
+        start, end = (end - length)[: len(tokens) - width + 1].tolist(), end[width - 1 :].tolist()
+        found = [digest(joined[a:b], seed) for a, b in zip(start, end, strict=True)]
+    return np.unique(np.array(found, np.uint64).view(np.int64))
+
+
+def _set_columns(texts: list[str | None], width: int, seed: int) -> tuple[list[np.ndarray], list[pa.Array]]:
+    """The texts' sets of shingles; and as columns 128 bits that identify each, and its size."""
+    from xxhash import xxh3_128_digest
+
+    sets = [shingles(t, width, seed) for t in texts]
+    key = np.frombuffer(b"".join(xxh3_128_digest(x.tobytes()) for x in sets), np.int64).reshape(-1, 2)
+    return sets, [pa.array(key[:, 0]), pa.array(key[:, 1]), pa.array([len(x) for x in sets], pa.int64())]
+
+
+def _lists(rows: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, rows)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.empty(0, np.int64), *rows])))
 
 
-def near_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.8, seed: int = 42, words: int = 8, per_shard: int = 32, recall: float = 0.99, crowd: int = 1024) -> DataFrame:
-    """(id, component_id) of documents by estimated similarity of their shingles.
+def common_shingles(docs: DataFrame, text_col: str, width: int, seed: int, sample: int, most: int) -> np.ndarray:
+    """The shingles that stand in three texts or more of a sample, rarest first; the `most` most frequent of them. They only order shingles, so the sample changes the work and not the result."""
+    share = max(1, docs.count() // sample)
 
-    Fingerprints have 64 * words bits; documents link if these differ in no more bits than sets of the given Jaccard
-    similarity do on average, so the estimate of it is within about 0.02 (one standard deviation at 512 bits). Shards are blocks
-    of bits, as many that a pair at the threshold shares one with the given chance, and as wide as the number of
-    different fingerprints needs for shards of per_shard; words grows if the blocks need it. Null and empty texts are one
-    class. Rows without id are in the component of an equal fingerprint with an id, else null.
+    def run(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([_lists([shingles(t, width, seed) for t in b.column(0).to_pylist()])], names=["h"])
+
+    some = docs.where(F.pmod(F.xxhash64(text_col), F.lit(share)) == 0).select(text_col)
+    counts = some.mapInArrow(run, "h array<long>").select(F.explode("h").alias("h")).groupBy("h").count().where("count >= 3")
+    return np.array([r["h"] for r in counts.orderBy(F.desc("count"), "h").limit(most).collect()][::-1], np.int64)
+
+
+def _may_reach(n, at, m, to, p: int, q: int):
+    """Whether sets of n and m shingles that share those at places `at` and `to` of their order can have a similarity of p / q."""
+    most = np.minimum(at, to) + 1 + np.minimum(n - at, m - to) - 1
+    return (np.minimum(n, m) * q >= np.maximum(n, m) * p) & (most * (p + q) >= p * (n + m))
+
+
+def _pair_batch(found: list[np.ndarray]) -> pa.RecordBatch:
+    both = np.sort(np.concatenate([np.empty((0, 2), np.int64), *found]), axis=1)
+    both = np.unique(both[both[:, 0] != both[:, 1]], axis=0)
+    return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
+
+
+def _whole_runs(batches, names: list[str], key: int) -> Iterator[np.ndarray]:
+    """The rows of long columns, cut only where one of the first `key` columns changes."""
+    rest = np.empty((0, len(names)), np.int64)
+    for b in batches:
+        rows = np.concatenate([rest, np.stack([np.asarray(b.column(c)) for c in names], axis=1)])
+        ends = np.flatnonzero((rows[1:, :key] != rows[:-1, :key]).any(axis=1))
+        cut = int(ends[-1]) + 1 if len(ends) else 0
+        rest = rows[cut:]
+        yield rows[:cut]
+    yield rest
+
+
+def near_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.8, seed: int = 42, crowd: int = 1024, sample: int = 20_000, most_common: int = 200_000) -> DataFrame:
+    """(id, component_id) of documents, which link if the Jaccard similarity of their sets of shingles reaches the given one.
+
+    Exact but for equal 64-bit hashes of different shingles, so whether two documents link depends on these two alone.
+    Similar sets share a shingle among the first of any one order, as many as a set's size less what it must have in
+    common, plus one (prefix filter); the order goes from rare to frequent. First, each holder of such a shingle is
+    compared with the next one by size; then all those that are still in different components, so that n near copies
+    do not make n² comparisons. A comparison counts the shared shingles of the whole texts. The holders of a crowded
+    shingle are dealt in pairs of blocks. Null and empty texts are one class. Rows without id are in the component of
+    an equal set with an id, else null.
     """
     spark = docs.sparkSession
-    n = docs.count()
-    wide = max(8, ceil(log2(max(2, n / per_shard))))
-    blocks = ceil(log(1 - recall) / log(1 - (1 - share_of_bits(similarity)) ** wide))
-    words = max(words, ceil(blocks / (64 // wide)))
+    ratio = Fraction(similarity).limit_denominator(1000)
+    p, q = ratio.numerator, ratio.denominator
     kind = docs.schema[id_col].dataType.simpleString()
     small_batches(spark)
+    parts = shuffle_partitions(spark)
+    common = common_shingles(docs, text_col, width, seed, sample, most_common)
+    rank = np.argsort(common)
+    common = common[rank]
+
+    def first(x: np.ndarray) -> np.ndarray:
+        size = len(x) - -(-len(x) * p // q) + 1 if len(x) else 0
+        if len(common):
+            k = np.minimum(np.searchsorted(common, x), len(common) - 1)
+            x = x[np.argsort(np.where(common[k] == x, rank[k] + 1, 0), kind="stable")]
+        return x[:size]
 
     def run(batches):
         for b in batches:
-            fp = np.stack([bits_of(t, width, seed, words) for t in b.column(1).to_pylist()]).view(np.int64) if b.num_rows else np.empty((0, words), np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(np.arange(len(fp) + 1) * words, pa.int32()), pa.array(fp.ravel()))], names=[id_col, "fp"])
-
-    fps = materialize(docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, fp array<long>"), "long-fingerprints")
-    classes = materialize(fps.groupBy("fp").agg(F.min(id_col).alias("node")), "long-classes")
-    places = [(k // (64 // wide), k % (64 // wide) * wide) for k in range(blocks)]
-    keys = F.array(*[F.struct(F.lit(k).alias("mask"), F.shiftrightunsigned(F.col("fp")[w], at).bitwiseAND(F.lit((1 << wide) - 1).cast("long")).alias("bits")) for k, (w, at) in enumerate(places)])
-    dealt = classes.where("node is not null").select(F.col("node").cast("long"), "fp", F.explode(keys).alias("s")).select("s.mask", "s.bits", "node", "fp")
-    roots = connected_components(shard_links(dealt, int(64 * words * share_of_bits(similarity)), crowd))
-    named = classes.join(roots.withColumnRenamed("node", "__node"), F.col("node").cast("long") == F.col("__node"), "left").select("fp", F.coalesce("root", F.col("node").cast("long")).alias("component_id"))
-    return fps.join(named, "fp").select(id_col, "component_id")
+            sets, columns = _set_columns(b.column(1).to_pylist(), width, seed)
+            yield pa.RecordBatch.from_arrays([b.column(0), *columns, _lists([first(x) for x in sets])], names=[id_col, "k", "l", "n", "first"])
+
+    sets = materialize(docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, k long, l long, n long, first array<long>"), "shingle-sets")
+    classes = materialize(sets.groupBy("k", "l").agg(F.min(id_col).alias("node")), "shingle-classes")
+    lead = sets.join(classes, ["k", "l"]).where((F.col(id_col) == F.col("node")) & (F.col("n") > 0)).dropDuplicates(["k", "l"])
+    held = lead.select(F.col("node").cast("long").alias("node"), "n", F.posexplode("first").alias("at", "h")).select("h", "n", F.col("at").cast("long").alias("at"), "node")
+
+    def not_alone(batches):
+        for rows in _whole_runs(batches, ["h", "n", "at", "node"], 1):
+            same = rows[1:, 0] == rows[:-1, 0]
+            keep = np.zeros(len(rows), bool)
+            keep[1:] |= same
+            keep[:-1] |= same
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in rows[keep].T], names=["h", "n", "at", "node"])
+
+    shared = materialize(held.repartition(parts, "h").sortWithinPartitions("h").mapInArrow(not_alone, "h long, n long, at long, node long"), "shared-shingles")
+
+    def next_ones(batches):
+        for rows in _whole_runs(batches, ["h", "n", "at", "node"], 1):
+            a, b = rows[:-1], rows[1:]
+            ok = (a[:, 0] == b[:, 0]) & _may_reach(a[:, 1], a[:, 2], b[:, 1], b[:, 2], p, q)
+            yield _pair_batch([np.stack([a[ok, 3], b[ok, 3]], axis=1)])
+
+    def others(batches):
+        found, size = [], 0
+        for rows in _whole_runs(batches, ["h", "pair", "own", "n", "at", "node", "root"], 2):
+            edges = np.flatnonzero((rows[1:, :2] != rows[:-1, :2]).any(axis=1)) + 1
+            for r in np.split(rows, edges):
+                own, n, at, node, root = r[:, 2:].T
+                if len(r) < 2 or (root == root[0]).all():
+                    continue
+                # One block: all pairs. Two: those across.
+                x, y = np.triu_indices(len(r), 1) if own[0] == own[-1] else (k.ravel() for k in np.meshgrid(np.flatnonzero(own == own[0]), np.flatnonzero(own != own[0])))
+                apart = root[x] != root[y]
+                x, y = x[apart], y[apart]
+                ok = _may_reach(n[x], at[x], n[y], at[y], p, q)
+                found.append(np.stack([node[x[ok]], node[y[ok]]], axis=1))
+                size += len(found[-1])
+                if size > 200_000:
+                    yield _pair_batch(found)
+                    found, size = [], 0
+        yield _pair_batch(found)
+
+    def whole(batches):
+        for b in batches:
+            own, columns = _set_columns(b.column(1).to_pylist(), width, seed)
+            yield pa.RecordBatch.from_arrays([b.column(0), *columns, _lists(own)], names=["node", "k", "l", "n", "s"])
+
+    def similar(pairs: DataFrame, label: str) -> DataFrame:
+        """Those pairs of nodes whose whole sets are similar enough."""
+        nodes = pairs.select(F.col("a").alias("__node")).unionAll(pairs.select(F.col("b").alias("__node"))).distinct()
+        texts = docs.join(nodes, F.col(id_col).cast("long") == F.col("__node"), "left_semi").select(F.col(id_col).cast("long").alias("node"), text_col)
+        named = classes.select("k", "l", F.col("node").cast("long").alias("node"))
+        own = materialize(texts.mapInArrow(whole, "node long, k long, l long, n long, s array<long>").join(named, ["node", "k", "l"], "left_semi").dropDuplicates(["node", "k", "l"]).select("node", "n", "s"), f"{label}-sets")
+        both = pairs.join(own.toDF("a", "n", "s"), "a").join(own.toDF("b", "m", "z"), "b")
+        return materialize(both.where(F.size(F.array_intersect("s", "z")) * (p + q) >= (F.col("n") + F.col("m")) * p).select("a", "b").distinct(), f"{label}-links")
+
+    tried = materialize(shared.repartition(parts, "h").sortWithinPartitions("h", "n", "node").mapInArrow(next_ones, "a long, b long").distinct(), "next-pairs")
+    links = similar(tried, "next")
+    roots = connected_components(links)
+    told = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    mixed = told.groupBy("h").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.count("*").alias("count")).where("least <> most").select("h", F.ceil(F.col("count") / crowd).alias("blocks"))
+    dealt = told.join(mixed, "h").withColumn("own", F.pmod(F.xxhash64("node", F.lit(7)), F.col("blocks")))
+    dealt = dealt.withColumn("pair", F.explode(F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda t: F.least("own", t) * F.col("blocks") + F.greatest("own", t))))
+    dealt = dealt.select("h", "pair", "own", "n", "at", "node", "root").repartition(parts, "h", "pair").sortWithinPartitions("h", "pair", "own")
+    more = materialize(dealt.mapInArrow(others, "a long, b long").distinct().join(tried, ["a", "b"], "left_anti"), "other-pairs")
+    if not more.isEmpty():
+        roots = connected_components(links.unionAll(similar(more, "other")))
+    named = classes.join(roots.withColumnRenamed("node", "__node"), F.col("node").cast("long") == F.col("__node"), "left").select("k", "l", F.coalesce("root", F.col("node").cast("long")).alias("component_id"))
+    return sets.join(named, ["k", "l"]).select(id_col, "component_id")
 
 
 def simhash_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 4, seed: int = 42, radius: int = 4, per_shard: int = 128, crowd: int = 1024) -> DataFrame:

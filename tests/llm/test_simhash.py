@@ -137,3 +137,49 @@ def test_similar_texts_meet_and_others_stay(spark):
     for crowd in (1024, 3):
         assert {r.doc_id: r.component_id for r in near_components(df, crowd=crowd).collect()} == want
     assert near_components(df.limit(0)).count() == 0
+
+
+def plain_sets(rows):
+    out = {}
+    for i, t in rows:
+        words = t.lower().split()
+        out[i] = {" ".join(words[k : k + 5]) for k in range(max(1, len(words) - 4))}
+    return out
+
+
+def edited(rng, base, similarity):
+    """base with words changed here and there until its similarity falls below the given one, and the text before that."""
+    before, text, own = base, list(base), plain_sets([(0, " ".join(base))])[0]
+    while True:
+        text[rng.randrange(len(text))] = f"x{rng.randrange(10**9)}"
+        other = plain_sets([(0, " ".join(text))])[0]
+        if len(own & other) / len(own | other) < similarity:
+            return before, list(text)
+        before = list(text)
+
+
+def near_rows(rng, groups):
+    rows = []
+    for g in range(groups):
+        base = [f"w{rng.randrange(99999)}" for _ in range(rng.choice((30, 120, 400)))]
+        rows.append((g * 10, " ".join(base)))
+        for k, s in enumerate((0.75, 0.78, 0.8, 0.82)):
+            rows += [(g * 10 + 1 + 2 * k + j, " ".join(t)) for j, t in enumerate(edited(rng, base, s))]
+    return rows
+
+
+def test_pairs_about_the_threshold_link_as_their_jaccard_similarity_says(spark):
+    from plumbline.llm.simhash import near_components
+
+    rng = random.Random(19)
+    rows = near_rows(rng, 40)
+    # Exactly 0.8: 8 of 10 different shingles shared, and a repeated shingle that counts once.
+    line = [f"v{k}" for k in range(13)]
+    rows += [(1000, " ".join(line)), (1001, " ".join([*line[:12], "other"])), (1002, "a " * 500 + " ".join(line)), (1003, "a " * 500 + " ".join(line[::-1]))]
+    sets = plain_sets(rows)
+    near = [(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) * 5 >= 4 * len(sets[a] | sets[b])]
+    want = groups(set(sets), near)
+    assert want[1001] == 1000 and want[1003] == 1003
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for kw in ({}, {"crowd": 2}, {"most_common": 3}):
+        assert {r.doc_id: r.component_id for r in near_components(df, **kw).collect()} == want
