@@ -57,12 +57,12 @@ def generalised(parsed: DataFrame, lines: DataFrame, shared: float, least_tokens
 
 
 def drop_recurring_lines(
-    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", depth: int = 3, shared: float = 0.8, long_tokens: int = 8, short_tokens: int = 4, long_docs: int = 2, mid_docs: int = 3, short_docs: int = 10, short_share: float = 0.005
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", depth: int = 3, shared: float = 0.8, long_tokens: int = 8, short_tokens: int = 4, long_docs: int = 2, mid_docs: int = 3, short_docs: int = 10
 ) -> DataFrame:
     """All columns of docs with the recurring lines of the text removed, and n_lines, n_dropped (longs).
 
-    A template recurs if it stands in long_docs different documents (mid_docs below long_tokens tokens; below short_tokens
-    in short_docs and short_share of all documents, as such lines coincide by chance). The document of the smallest id
+    A template recurs if it stands in long_docs different documents (mid_docs below long_tokens tokens; short_docs below
+    short_tokens, as such lines coincide by chance), however many documents there are. The document of the smallest id
     keeps its lines; every other drops them, repeats within it included. Lines without tokens, and all lines of documents
     that keep them, stay byte for byte. A text that loses all lines is empty. A null text stays null with no lines.
     Documents are told apart by id; rows of one id and one text get one result each, rows without id count as one document
@@ -75,11 +75,10 @@ def drop_recurring_lines(
     parsed = _parsed(docs.select(doc.alias("doc"), body.alias("body"), F.col(text_col).alias("text")), depth)
     lines = materialize(parsed.select("doc", "body", "pos", "n", "leaf", "t"), "lines")
     more = generalised(parsed, lines, shared, long_tokens)
-    n_docs = docs.count()
     # A template's documents: first one row for each document that holds it, then their number.
     held = lines.where("n > 0").groupBy("leaf", "t", "n", "doc").agg(F.count("*").alias("k"))
     held = materialize(held.join(more, ["leaf", "t"], "left").select("leaf", "t", "n", "doc", F.coalesce("g", "t").alias("g")), "templates")
-    need = F.when(F.col("n") >= long_tokens, long_docs).when(F.col("n") >= short_tokens, mid_docs).otherwise(max(short_docs, int(short_share * n_docs)))
+    need = F.when(F.col("n") >= long_tokens, long_docs).when(F.col("n") >= short_tokens, mid_docs).otherwise(short_docs)
     stands = held.select("leaf", "g", "n", "doc").distinct().groupBy("leaf", "g", "n").agg(F.count("*").alias("docs"), F.min("doc").alias("first")).where(F.col("docs") >= need)
     doomed = held.join(stands.select("leaf", "g", "first"), ["leaf", "g"]).where("doc <> first").select("leaf", "t", "doc")
     # The flags of a document's lines in order, so that filtering is one lookup a line however many go.

@@ -56,3 +56,13 @@ def test_against_exact_counts(spark):
     need = lambda line: 2 if len(line.split()) >= 8 else 3 if len(line.split()) >= 4 else 10
     want = [(i, "\n".join(x for x in t.split("\n") if len(docs[x]) < need(x) or min(docs[x]) == i)) for i, t in rows]
     assert [(i, t) for i, t, _, _ in sorted(run(spark, rows))] == want
+
+
+def test_short_lines_go_by_a_fixed_number_of_documents(spark):
+    rng = random.Random(10)
+    for n in (40, 3000):  # 0.5 % of 3000 documents are 15
+        rows = [(i, prose(rng, 12) + ("\nBack to top" if i < 12 else "")) for i in range(n)]
+        got = {i: (t, d) for i, t, _, d in run(spark, rows)}
+        assert all(got[i] == ((t, 0) if i == 0 or i >= 12 else (t.split("\n")[0], 1)) for i, t in rows)
+        rows = [(i, prose(rng, 12) + ("\nRead on" if i < 9 else "")) for i in range(n)]
+        assert {(i, t) for i, t, _, _ in run(spark, rows)} == set(rows)
