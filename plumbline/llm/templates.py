@@ -1,7 +1,7 @@
 """Line dedup by a log-template tree.
 
 A line descends a tree of fixed depth: first by its number of tokens, then by its leading tokens, where tokens with
-digits count as a variable field. In a leaf, a token that no other document has at its place is a variable field too,
+digits count as a variable field. In a leaf, a token that no other line has at its place is a variable field too,
 if most of the line's tokens are shared; so lines that differ in a few fields have one template. Templates that recur
 across documents are dropped from all documents but the first. All of it is built from DataFrame functions.
 """
@@ -36,6 +36,8 @@ def _parsed(docs: DataFrame, depth: int) -> DataFrame:
 def generalised(parsed: DataFrame, lines: DataFrame, shared: float, least_tokens: int, most_broadcast: int = 500_000) -> DataFrame:
     """(leaf, t, g): for masked lines of at least least_tokens in leaves that hold several, the template that generalises them.
 
+    A token is shared if another line of the leaf has it at its place, fields of digits too; a value in one line is a field
+    however many documents hold that line.
     lines: parsed without tokens, kept. Leaves with several lines are few; up to most_broadcast of them (16 bytes each) they
     go to the lines, beyond that the lines are dealt by leaf.
     """
@@ -44,13 +46,13 @@ def generalised(parsed: DataFrame, lines: DataFrame, shared: float, least_tokens
     leaves = materialize(leaves, "leaves")
     if leaves.count() <= most_broadcast:
         leaves = F.broadcast(leaves)
-    # Each different line once, its tokens as hashes, with the span of its documents; copies end here.
-    long = parsed.where(F.col("n") >= least_tokens).join(leaves, "leaf", "left_semi")
-    long = long.select("leaf", "t", F.transform("tokens", lambda x: F.when(x != FIELD, F.xxhash64(x))).alias("tokens"), F.xxhash64("doc").alias("d"))
-    own = materialize(long.groupBy("leaf", "t").agg(F.first("tokens").alias("tokens"), F.min("d").alias("d"), F.max("d").alias("e")), "leaf-lines")
-    at = own.select("leaf", "t", "d", "e", F.posexplode("tokens").alias("p", "token"))
-    common = at.where("token is not null").groupBy("leaf", "p", "token").agg(F.min("d").alias("d"), F.max("e").alias("e")).where("d <> e").select("leaf", "p", "token", F.lit(True).alias("common"))
-    at = at.drop("d", "e").join(common, ["leaf", "p", "token"], "left")
+    # Each different line once, its tokens as hashes; copies end here.
+    several = parsed.where(F.col("n") >= least_tokens).join(leaves, "leaf", "left_semi")
+    several = several.select("leaf", "t", F.transform("tokens", lambda x: F.xxhash64(x)).alias("tokens"))
+    own = materialize(several.groupBy("leaf", "t").agg(F.first("tokens").alias("tokens")), "leaf-lines")
+    at = own.select("leaf", "t", F.posexplode("tokens").alias("p", "token"))
+    common = at.groupBy("leaf", "p", "token").agg(F.count("*").alias("k")).where("k > 1").select("leaf", "p", "token", F.lit(True).alias("common"))
+    at = at.join(common, ["leaf", "p", "token"], "left")
     # A group here is one line.
     made = at.groupBy("leaf", "t").agg(F.array_sort(F.collect_list(F.struct("p", F.when(F.col("common"), F.col("token")).alias("token")))).alias("parts"), F.avg(F.coalesce("common", F.lit(False)).cast("int")).alias("share"))
     return made.where(F.col("share") >= shared).select("leaf", "t", F.xxhash64(F.transform("parts", lambda x: F.coalesce(x["token"], F.lit(0).cast("long")))).alias("g"))
@@ -74,7 +76,8 @@ def drop_recurring_lines(
     body = F.xxhash64(text_col)
     parsed = _parsed(docs.select(doc.alias("doc"), body.alias("body"), F.col(text_col).alias("text")), depth)
     lines = materialize(parsed.select("doc", "body", "pos", "n", "leaf", "t"), "lines")
-    more = generalised(parsed, lines, shared, long_tokens)
+    # Lines of up to depth tokens are their leaf.
+    more = generalised(parsed, lines, shared, depth + 1)
     # A template's documents: first one row for each document that holds it, then their number.
     held = lines.where("n > 0").groupBy("leaf", "t", "n", "doc").agg(F.count("*").alias("k"))
     held = materialize(held.join(more, ["leaf", "t"], "left").select("leaf", "t", "n", "doc", F.coalesce("g", "t").alias("g")), "templates")

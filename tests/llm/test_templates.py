@@ -66,3 +66,24 @@ def test_short_lines_go_by_a_fixed_number_of_documents(spark):
         assert all(got[i] == ((t, 0) if i == 0 or i >= 12 else (t.split("\n")[0], 1)) for i, t in rows)
         rows = [(i, prose(rng, 12) + ("\nRead on" if i < 9 else "")) for i in range(n)]
         assert {(i, t) for i, t, _, _ in run(spark, rows)} == set(rows)
+
+
+def test_fields_in_short_lines_and_several_fields(spark):
+    rng = random.Random(12)
+    rows = []
+    for i in range(12):
+        name, place = prose(rng, 1), ("Anna", "Paul", "Mary")[i % 3]
+        # One field in 6 tokens, of many values and of few; one in 5; two digit fields and a word in 10.
+        drop = [f"This page was written by {name}", f"That page was checked by {place}", f"Posted here today by {name}", f"Updated on day {i} of {i + 3} in our {name} office"]
+        keep = [prose(rng, 9), f"Posted by {name} {prose(rng, 1)}", f"See also our {prose(rng, 3)}"]
+        rows.append((i, keep, "\n".join([keep[0], *drop, *keep[1:]])))
+    got = run(spark, [(i, t) for i, _, t in rows])
+    for (i, text, n, dropped), (_, keep, before) in zip(sorted(got), rows, strict=True):
+        assert (text, n, dropped) == ((before, 7, 0) if i == 0 else ("\n".join(keep), 7, 4))
+
+
+def test_lines_of_four_to_seven_tokens_go_from_three_documents_on(spark):
+    rng = random.Random(14)
+    for n, kept in ((2, True), (3, False)):
+        rows = [(i, prose(rng, 9) + f"\nThis page was written by {prose(rng, 1)}") for i in range(n)]
+        assert [t for _, t, _, _ in sorted(run(spark, rows))] == [t if kept or not i else t.split("\n")[0] for i, t in rows]
