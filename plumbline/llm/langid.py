@@ -16,7 +16,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plumbline.llm.store import small_batches, table
@@ -139,22 +139,24 @@ class Parser:
 
 
 def train_samples(labelled: DataFrame, *, text_col: str = "text", lang_col: str = "lang", rows: int = 300, chars: int = 30_000) -> dict[str, np.ndarray]:
-    """At most about `rows` labelled rows of each language, those first by a hash of the text, and at most `chars` symbols of them, at most 4000 characters of a row.
+    """Of each language the `rows` different texts (all if there are fewer) that are first by a hash, and at most `chars` symbols of them, at most 4000 characters of a text.
 
-    The counts of all rows by language set the share of hashes that is fetched; languages beyond 200 raise ValueError.
+    Copies count once. The last hash that is taken is found by ranks, of which every task keeps `rows` a language; languages beyond 200 raise ValueError.
     """
     rows_of = labelled.where(F.col(lang_col).isNotNull() & F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)))
-    counts = {r[0]: r["count"] for r in rows_of.groupBy(lang_col).count().limit(201).collect()}
+    hashed = F.xxhash64(text_col, F.lit(1))
+    keys = rows_of.select(F.col(lang_col).alias("lang"), F.pmod(hashed, F.lit(1 << 30)).alias("at"), hashed.alias("h")).distinct()
+    counts = [r[0] for r in keys.select("lang").distinct().limit(201).collect()]
     if len(counts) > 200:
         raise ValueError("more than 200 languages")
     if not counts:
         return {}
-    at = F.pmod(F.xxhash64(text_col, F.lit(1)), F.lit(1 << 30))
-    limit = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(int(min(1.0, 2 * rows / n) * (1 << 30))))])
-    # Copies of a text have one hash; each text is taken once.
-    got = rows_of.select(F.col(lang_col).alias("lang"), F.substring(text_col, 1, 4000).alias("text"), at.alias("at")).where(F.col("at") < F.element_at(limit, F.col("lang")))
+    ranked = keys.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("at", "h"))).where(F.col("k") <= rows)
+    last = {r["lang"]: r["last"] for r in ranked.groupBy("lang").agg(F.max(F.struct("at", "h")).alias("last")).collect()}
+    limit = F.create_map(*[x for k, v in last.items() for x in (F.lit(k), F.struct(F.lit(v["at"]).cast("long").alias("at"), F.lit(v["h"]).cast("long").alias("h")))])
+    got = rows_of.select(F.col(lang_col).alias("lang"), F.substring(text_col, 1, 4000).alias("text"), F.pmod(hashed, F.lit(1 << 30)).alias("at"), hashed.alias("h")).where(F.struct("at", "h") <= F.element_at(limit, F.col("lang")))
     texts: dict[str, set] = {k: set() for k in counts}
-    for r in got.groupBy("lang", "at").agg(F.min("text").alias("text")).collect():
+    for r in got.groupBy("lang", "at", "h").agg(F.min("text").alias("text")).collect():
         texts[r["lang"]].add((r["at"], r["text"]))
     out = {}
     for k, own in texts.items():

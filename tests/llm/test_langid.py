@@ -75,3 +75,14 @@ def test_nothing_to_learn_from(spark):
     df = spark.createDataFrame([(0, "words", None, "x")], SCHEMA)
     assert [r.lang_pred for r in identify(df, learn(df)).collect()] == ["und"]
     assert identify(df.limit(0), {"a": np.array([97], np.uint32)}).count() == 0
+
+
+def test_languages_of_copies_are_learned(spark):
+    from plumbline.llm.langid import train_samples
+
+    rows = [("aa", f"text {'abcdefgh'[k % 5]} of few") for k in range(6000)] + [("bb", "one text")] * 9000 + [("cc", f"word {chr(97 + k % 26)}{chr(97 + k // 26)} end") for k in range(600)]
+    for seed in range(4):
+        df = spark.createDataFrame([(lang, text + " x" * seed) for lang, text in rows], "lang string, text string")
+        got = train_samples(df, rows=300)
+        assert {k: "".join(map(chr, v)).count("text") for k, v in got.items()} == {"aa": 5, "bb": 1, "cc": 0}
+        assert "".join(map(chr, got["cc"])).count("word") == 300
