@@ -183,3 +183,14 @@ def test_pairs_about_the_threshold_link_as_their_jaccard_similarity_says(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     for kw in ({}, {"crowd": 2}, {"most_common": 3}):
         assert {r.doc_id: r.component_id for r in near_components(df, **kw).collect()} == want
+
+
+def test_links_do_not_depend_on_the_size_of_the_table(spark):
+    from plumbline.llm.simhash import near_components
+
+    rng = random.Random(23)
+    pairs = near_rows(rng, 12)
+    others = [(10_000 + k, " ".join(f"z{rng.randrange(99999)}" for _ in range(12))) for k in range(6000)]
+    small = {r.doc_id: r.component_id for r in near_components(spark.createDataFrame(pairs, "doc_id long, text string")).collect()}
+    large = {r.doc_id: r.component_id for r in near_components(spark.createDataFrame(pairs + others, "doc_id long, text string"), sample=100).collect()}
+    assert small == {i: large[i] for i in small} and all(large[i] == i for i, _ in others)
