@@ -5,13 +5,16 @@ from the current place is one phrase, and the next phrase begins where it ends;
 the closer it is to the language. Phrase counts are normalised by the number of symbols, and the language that needs
 fewest wins. Matches are found by walking the automaton from its root: a step without an edge ends the phrase.
 
-Letters are lower-cased, runs of anything else become one blank. Texts are parsed in blocks of a fixed number of symbols,
-all blocks of a batch in lockstep.
+Letters are lower-cased, runs of anything else become one blank. Every letter of the samples is a symbol, of whatever
+script. Automata are kept as displaced sparse rows, so that they take memory by their edges and not by the number of symbols.
+
+All texts of a batch are parsed in lockstep. Long texts are cut into blocks for that, which changes no count: each block is
+parsed from the root first, and then again from the state in which the block before ends, up to the first place where
+both parses begin a phrase; from there on they are the same.
 """
 
 from __future__ import annotations
 
-import zlib
 from functools import lru_cache
 
 import numpy as np
@@ -75,31 +78,57 @@ def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
     return edges
 
 
+def displaced(edges: list[dict[int, int]], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(base, cells): the edge of state s by symbol c (below width) is in cells[base[s] + c], as s << 32 | next state, if its upper half is s.
+
+    Rows are laid over each other where their edges leave cells free, those of most edges first.
+    """
+    used, base, filled = bytearray(width), [0] * len(edges), {}
+    free, top = 0, 0  # no cell below free is free, all from top on are
+    for s in sorted(range(len(edges)), key=lambda s: -len(edges[s])):
+        own = sorted(edges[s])
+        if not own:
+            continue
+        used.extend(bytes(max(0, top + 3 * width - len(used))))
+        free = used.find(0, free)
+        at = max(free, own[0])
+        for _ in range(60):
+            at = used.find(0, at)
+            shift = at - own[0]
+            if at >= top or not any(used[shift + c] for c in own):
+                break
+            at += 1
+        else:
+            shift = max(top - own[0], 0)
+        top = max(top, shift + own[-1] + 1)
+        base[s] = shift
+        for c in own:
+            used[shift + c] = 1
+            filled[shift + c] = s << 32 | edges[s][c]
+    cells = np.full(max(base, default=0) + width, -1, np.int64)
+    cells[list(filled)] = list(filled.values())
+    return np.array(base, np.int32), cells
+
+
 class Parser:
-    """Automata of several languages as tables. samples: {language: code points of its text}."""
+    """Automata of several languages as tables. samples: {language: code points of its text}. A million edges take about 8 MB."""
 
     def __init__(self, samples: dict[str, np.ndarray], block: int = 1024):
         self.langs, self.block = sorted(samples), block
-        seen, often = np.unique(np.concatenate([samples[k] for k in self.langs]), return_counts=True)
-        seen = np.sort(seen[np.argsort(-often, kind="stable")][:254])
-        self.symbol = np.zeros(0x110000, np.uint8)  # 0: in no sample
-        self.symbol[seen] = np.arange(1, len(seen) + 1)
-        self.width = width = len(seen) + 1
-        # next state * 2 + whether a new phrase begins; a symbol without an edge at the root is a phrase of its own.
+        self.seen = np.unique(np.concatenate([samples[k] for k in self.langs])).astype(np.int64)
         self.tables = []
         for k in self.langs:
-            edges = suffix_automaton(self.symbol[samples[k]].tolist())
-            root = np.zeros(width, np.int32)
+            edges = suffix_automaton(self.symbols(samples[k]).tolist())
+            root = np.zeros(len(self.seen) + 1, np.int32)
             for c, to in edges[0].items():
                 root[c] = to
-            t = np.tile(root * 2 + 1, (len(edges), 1))
-            for s, e in enumerate(edges):
-                for c, to in e.items():
-                    t[s, c] = to * 2
-            # At the root no phrase is open, so any first symbol begins one.
-            t[0] = root * 2 + 1
-            t[:, 0] = 1
-            self.tables.append(t.ravel())
+            # At the root no phrase is open, so any symbol begins one: the root has no edges of its own.
+            self.tables.append((root, *displaced([{}, *edges[1:]], len(self.seen) + 1)))
+
+    def symbols(self, points: np.ndarray) -> np.ndarray:
+        """Numbers of code points, 0 for those in no sample."""
+        at = np.minimum(np.searchsorted(self.seen, points), len(self.seen) - 1)
+        return np.where(self.seen[at] == points, at + 1, 0).astype(np.int32)
 
     def phrases(self, texts: list[np.ndarray]) -> np.ndarray:
         """The number of phrases of each text in each language."""
@@ -107,24 +136,62 @@ class Parser:
         sizes = np.array([len(t) for t in texts], np.int64)
         if not sizes.sum():
             return out
-        data = self.symbol[np.concatenate(texts)].astype(np.int32)
+        data = self.symbols(np.concatenate(texts))
         base = np.append(0, np.cumsum(sizes)[:-1])
         per = -(-sizes // self.block)
         owner = np.repeat(np.arange(len(texts)), per)
         inner = np.arange(len(owner)) - np.repeat(np.append(0, np.cumsum(per)[:-1]), per)
         start = base[owner] + inner * self.block
         size = np.minimum(self.block, sizes[owner] - inner * self.block)
+        for k, table in enumerate(self.tables):
+            begins = np.zeros(len(data), bool)
+            end = self._walk(table, data, begins, start, size, np.zeros(len(start), np.int32))
+            came = np.zeros(len(start), np.int32)  # the state in which each block was entered
+            while True:
+                enter = np.append(np.int32(0), end[:-1])
+                again = np.flatnonzero((inner > 0) & (enter != came))
+                if not len(again):
+                    break
+                came[again] = enter[again]
+                got = self._walk(table, data, begins, start[again], size[again], enter[again], meet=True)
+                end[again] = np.where(got >= 0, got, end[again])
+            out[:, k] = np.add.reduceat(np.append(begins, False), np.minimum(base, len(data)), dtype=np.int64)
+        out[sizes == 0] = 0
+        return out
+
+    @staticmethod
+    def _walk(table, data, begins, start, size, state, meet=False) -> np.ndarray:
+        """Parses blocks from the states given, in lockstep, marks in begins where a phrase begins, and returns their last states.
+
+        meet: begins holds an earlier parse; a block is left as it was from where both begin a phrase, and its last state is then -1.
+        """
+        root, base, cells = table
         order = np.argsort(-size, kind="stable")
-        start, size, owner = start[order], size[order], owner[order]
-        for k, t in enumerate(self.tables):
-            state = np.zeros(len(start), np.int32)
-            count = np.zeros(len(start), np.int32)
-            for step in range(int(size[0])):
-                n = int(np.searchsorted(-size, -step, side="left"))
-                got = t[state[:n] * self.width + data[start[:n] + step]]
-                count[:n] += got & 1
-                state[:n] = got >> 1
-            np.add.at(out[:, k], owner, count)
+        start, size, state = start[order], size[order], state[order]
+        last = np.full(len(order), -1, np.int32)
+        live, step = np.arange(len(order)), 0
+        while True:
+            n = int(np.searchsorted(-size, -step, side="left"))  # blocks longer than step
+            if n < len(live):
+                last[live[n:]] = state[n:]
+                live, start, size, state = live[:n], start[:n], size[:n], state[:n]
+            if not n:
+                break
+            at = start + step
+            c = data[at]
+            cell = cells[base[state] + c]
+            new = cell >> 32 != state
+            state = np.where(new, root[c], cell).astype(np.int32)
+            if meet:
+                on = ~(new & begins[at])
+                begins[at] = new
+                if not on.all():
+                    live, start, size, state = live[on], start[on], size[on], state[on]
+            else:
+                begins[at] = new
+            step += 1
+        out = np.empty(len(order), np.int32)
+        out[order] = last
         return out
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
@@ -138,8 +205,8 @@ class Parser:
         return [(self.langs[b], float(s)) if len(x) else ("und", 0.0) for b, s, x in zip(best.tolist(), score.tolist(), symbols, strict=True)]
 
 
-def train_samples(labelled: DataFrame, *, text_col: str = "text", lang_col: str = "lang", rows: int = 300, chars: int = 30_000) -> dict[str, np.ndarray]:
-    """Of each language the `rows` different texts (all if there are fewer) that are first by a hash, and at most `chars` symbols of them, at most 4000 characters of a text.
+def train_samples(labelled: DataFrame, *, text_col: str = "text", lang_col: str = "lang", rows: int = 300, chars: int = 30_000, text_chars: int = 4000) -> dict[str, np.ndarray]:
+    """Of each language the `rows` different texts (all if there are fewer) that are first by a hash, and at most `chars` symbols of them, of a text those of its first `text_chars` characters.
 
     Copies count once. The last hash that is taken is found by ranks, of which every task keeps `rows` a language; languages beyond 200 raise ValueError.
     """
@@ -154,7 +221,7 @@ def train_samples(labelled: DataFrame, *, text_col: str = "text", lang_col: str
     ranked = keys.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("at", "h"))).where(F.col("k") <= rows)
     last = {r["lang"]: r["last"] for r in ranked.groupBy("lang").agg(F.max(F.struct("at", "h")).alias("last")).collect()}
     limit = F.create_map(*[x for k, v in last.items() for x in (F.lit(k), F.struct(F.lit(v["at"]).cast("long").alias("at"), F.lit(v["h"]).cast("long").alias("h")))])
-    got = rows_of.select(F.col(lang_col).alias("lang"), F.substring(text_col, 1, 4000).alias("text"), F.pmod(hashed, F.lit(1 << 30)).alias("at"), hashed.alias("h")).where(F.struct("at", "h") <= F.element_at(limit, F.col("lang")))
+    got = rows_of.select(F.col(lang_col).alias("lang"), F.substring(text_col, 1, text_chars).alias("text"), F.pmod(hashed, F.lit(1 << 30)).alias("at"), hashed.alias("h")).where(F.struct("at", "h") <= F.element_at(limit, F.col("lang")))
     texts: dict[str, set] = {k: set() for k in counts}
     for r in got.groupBy("lang", "at", "h").agg(F.min("text").alias("text")).collect():
         texts[r["lang"]].add((r["at"], r["text"]))
@@ -166,37 +233,29 @@ def train_samples(labelled: DataFrame, *, text_col: str = "text", lang_col: str
     return out
 
 
-_parsers: dict[int, Parser] = {}
-
-
-def parser(key: int, samples: dict[str, bytes]) -> Parser:
-    """Built once in each worker."""
-    if key not in _parsers:
-        _parsers.clear()
-        _parsers[key] = Parser({k: np.frombuffer(v, np.uint32) for k, v in samples.items()})
-    return _parsers[key]
-
-
 def identify(docs: DataFrame, samples: dict[str, np.ndarray], *, text_col: str = "text") -> DataFrame:
     """All columns of docs, and lang_pred (a language of the samples, or und for a null text or one without letters) and score (0 to 1).
 
-    Narrow: the samples, bounded by their parameters, go along with the tasks. Whole texts are parsed. Without any samples every text is und. Columns of the same names are replaced.
+    Narrow: automata are built once, and their tables, bounded by the parameters of the samples (about 2 MB a language), are sent to the
+    workers. Whole texts are parsed, of any length. A text to which several languages fit equally gets the first of them by name and score 0;
+    so does one whose letters are in no sample. Repeated rows get equal results each. The empty table gives the empty table. Without any
+    samples every text is und. Columns of the same names are replaced.
     """
+    from pyspark.sql import types as T
+
     small_batches(docs.sparkSession)
     docs = docs.drop("lang_pred", "score")
-    flat = {k: v.astype(np.uint32).tobytes() for k, v in samples.items() if len(v)}
-    key = zlib.crc32(b"".join(k.encode() + v for k, v in sorted(flat.items())))
+    samples = {k: v for k, v in samples.items() if len(v)}
+    sent = docs.sparkSession.sparkContext.broadcast(Parser(samples) if samples else None)
     names = docs.columns
     place = names.index(text_col)
 
     def run(batches):
-        p = parser(key, flat) if flat else None
+        p = sent.value
         for b in batches:
             got = p.predict(b.column(place).to_pylist()) if p else [("und", 0.0)] * b.num_rows
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())], names=[*names, "lang_pred", "score"])
 
-    from pyspark.sql import types as T
-
     schema = T.StructType([*[T.StructField(f.name, f.dataType, True) for f in docs.schema], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     return docs.mapInArrow(run, schema)
 

@@ -28,14 +28,44 @@ def plain_phrases(sample, x):
 def test_phrases_against_a_plain_parse():
     rng = random.Random(1)
     raw = {k: text(rng, k, 120) for k in STEMS}
-    p = Parser({k: letters(v) for k, v in raw.items()}, block=50)
     tests = [text(rng, rng.choice(list(STEMS)), rng.randint(1, 60)) + rng.choice(["", " qqq", "é"]) for _ in range(60)] + ["", "q"]
-    got = p.phrases([letters(t) for t in tests])
+    tests += [raw["aa"] + raw["bb"][:200], raw["cc"][100:], "qq" * 300]  # phrases over several blocks
     show = lambda a: "".join(map(chr, a))
-    for t, row in zip(tests, got.tolist(), strict=True):
-        x = show(letters(t))
-        for lang, n in zip(p.langs, row, strict=True):
-            assert n == sum(plain_phrases(show(letters(raw[lang])), x[k : k + 50]) for k in range(0, len(x), 50))
+    for block in (3, 7, 50, 1024):
+        p = Parser({k: letters(v) for k, v in raw.items()}, block=block)
+        got = p.phrases([letters(t) for t in tests])
+        for t, row in zip(tests, got.tolist(), strict=True):
+            assert row == [plain_phrases(show(letters(raw[lang])), show(letters(t))) for lang in p.langs]
+
+
+def test_languages_of_many_scripts():
+    rng = random.Random(9)
+    # Eight alphabets of 20 to 26 letters, and one language of 3000 Han characters; words of each from a stock, the tests' half unseen.
+    starts = {"ar": 0x627, "be": 0x430, "el": 0x3B1, "en": 0x61, "he": 0x5D0, "hy": 0x561, "ka": 0x10D0, "hi": 0x915}
+    raw, tests = {}, []
+    for lang, c in starts.items():
+        stock = ["".join(chr(c + rng.randrange(20)) for _ in range(rng.randint(2, 6))) for _ in range(300)]
+        raw[lang] = " ".join(rng.choice(stock[:200]) for _ in range(3000))
+        tests += [(lang, " ".join(rng.choice(stock[100:]) for _ in range(rng.randint(2, 30)))) for _ in range(40)]
+    # Two languages of one script and alphabet, told apart by their words.
+    for lang, words in (("xa", "lomi kesa tunor bavi".split()), ("xb", "imol asek ronut ivab".split())):
+        raw[lang] = " ".join(rng.choice(words) + rng.choice(["", "na", "ti"]) for _ in range(3000))
+        tests += [(lang, " ".join(rng.choice(words) + rng.choice(["", "sa", "ti"]) for _ in range(8))) for _ in range(40)]
+    stock = ["".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(rng.randint(1, 3))) for _ in range(6000)]
+    raw["zh"] = "".join(rng.choice(stock) for _ in range(9000))
+    tests += [("zh", "".join(rng.choice(stock) for _ in range(rng.randint(3, 30)))) for _ in range(40)]
+    p = Parser({k: letters(v)[:30_000] for k, v in raw.items()})
+    got = p.predict([t for _, t in tests])
+    for lang in raw:
+        own = [g == lang for (want, _), (g, _) in zip(tests, got, strict=True) if want == lang]
+        assert sum(own) >= 0.95 * len(own) == 38
+    # Memory by edges: no table of states times symbols.
+    assert sum(x.nbytes for t in p.tables for x in t) < 2_500_000 * len(raw)
+
+
+def test_ties_go_to_the_first_by_name():
+    p = Parser({"b": letters("same text here"), "a": letters("same text here"), "c": letters("xyz")})
+    assert p.predict(["same text", "text", "\u4e00\u4e01", "xyz", "1", ""]) == [("a", 0.0), ("a", 0.0), ("a", 0.0), ("c", 2 / 3), ("und", 0.0), ("und", 0.0)]
 
 
 def test_letters():
