@@ -15,6 +15,7 @@ both parses begin a phrase; from there on they are the same.
 
 from __future__ import annotations
 
+import random
 from functools import lru_cache
 
 import numpy as np
@@ -81,25 +82,24 @@ def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
 def displaced(edges: list[dict[int, int]], width: int) -> tuple[np.ndarray, np.ndarray]:
     """(base, cells): the edge of state s by symbol c (below width) is in cells[base[s] + c], as s << 32 | next state, if its upper half is s.
 
-    Rows are laid over each other where their edges leave cells free, those of most edges first.
+    Rows are laid over each other where their edges leave cells free: those of most edges first at random places, those of one edge into the gaps.
     """
     used, base, filled = bytearray(width), [0] * len(edges), {}
-    free, top = 0, 0  # no cell below free is free, all from top on are
+    rng = random.Random(0)
+    free, top = 0, width  # no cell below free is free
     for s in sorted(range(len(edges)), key=lambda s: -len(edges[s])):
         own = sorted(edges[s])
         if not own:
             continue
-        used.extend(bytes(max(0, top + 3 * width - len(used))))
-        free = used.find(0, free)
-        at = max(free, own[0])
-        for _ in range(60):
-            at = used.find(0, at)
-            shift = at - own[0]
-            if at >= top or not any(used[shift + c] for c in own):
-                break
-            at += 1
+        used.extend(bytes(max(0, top + 2 * width - len(used))))
+        if len(own) == 1:
+            free = used.find(0, free)
+            shift = used.find(0, max(free, own[0])) - own[0]
         else:
-            shift = max(top - own[0], 0)
+            shift, room = rng.randrange(top), max(top, 3 * len(filled))
+            while any(used[shift + c] for c in own):
+                room += room >> 8  # more room with each try
+                shift = rng.randrange(min(room, top + width))
         top = max(top, shift + own[-1] + 1)
         base[s] = shift
         for c in own:
