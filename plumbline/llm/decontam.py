@@ -7,7 +7,8 @@ of a batch a first bound is taken at once: the largest weights of a passage's ra
 common words can give any item of the class. Passages that pass run block-max WAND over the posting lists: lists are ordered by item, the pivot is the
 first item whose upper bounds reach the threshold, and blocks of items whose block maxima can't reach it are skipped.
 Every item at or over the threshold is retrieved; it is a leak if the shingles of its question and of its answer both
-stand in the passage.
+stand in the passage. Of an item of fewer words than a shingle the whole sequence must stand there. In scripts that are
+written without blanks each character is a word, so their shingles are of characters.
 """
 
 from __future__ import annotations
@@ -28,13 +29,22 @@ from plumbline.llm.store import small_batches, table
 _BLANKED = bytes(b if b > 127 or chr(b).isalnum() else 32 for b in range(256))
 
 
+#: Characters of scripts without blanks between words: Thai, Lao, Burmese, Khmer, kana, Han; and the punctuation of the last two.
+_SOLID = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
+_WIDE_MARKS = re.compile("[\u3000-\u303f\uff01-\uff0f\uff1a-\uff20\uff3b-\uff40\uff5b-\uff65]")
+_ENDS = re.compile(r"(?<=[.?!])\s+|(?<=[\u3002\uff01\uff1f\uff0e])|\n+")
+
+
 def words(text: str | None) -> list[bytes]:
-    return (text or "").lower().encode("utf-8", "surrogatepass").translate(_BLANKED).split()
+    text = (text or "").lower()
+    if not text.isascii() and (_SOLID.search(text) or _WIDE_MARKS.search(text)):
+        text = _SOLID.sub(r" \g<0> ", _WIDE_MARKS.sub(" ", text))
+    return text.encode("utf-8", "surrogatepass").translate(_BLANKED).split()
 
 
 def halves(text: str) -> tuple[list[bytes], list[bytes]]:
     """Question and answer of an item: all sentences but the last, and the last; of one sentence, itself twice."""
-    parts = [p for p in (words(s) for s in re.split(r"(?<=[.?!])\s+|\n+", text)) if p]
+    parts = [p for p in (words(s) for s in _ENDS.split(text)) if p]
     if len(parts) < 2:
         return (parts[0], parts[0]) if parts else ([], [])
     return [w for p in parts[:-1] for w in p], parts[-1]
@@ -101,32 +111,41 @@ class Postings:
         return found
 
 
+def count_words(texts) -> tuple[int, int, Counter]:
+    """The number of texts with words, of their words, and of the texts that hold each word."""
+    n, size, df = 0, 0, Counter()
+    for t in texts:
+        ws = words(t)
+        n, size = n + bool(ws), size + len(ws)
+        df.update(set(ws))
+    return n, size, df
+
+
 class Index:
-    """Items (id, text) with at least least_words words, by length class."""
+    """Items (id, text) with words, by length class. totals: (items, words, items by word) of all items, if these are a part of them."""
 
-    def __init__(self, items: list[tuple[int, str]], threshold: float = 0.6, shingle: int = 5, least_words: int = 5, block: int = 4, k1: float = 1.2, b: float = 0.75, common_share: float = 0.25, most_classes: int = 32, least_class: int = 8):
+    def __init__(self, items: list[tuple[int, str]], totals: tuple[int, int, Counter] | None = None, *, threshold: float = 0.6, shingle: int = 5, block: int = 4, k1: float = 1.2, b: float = 0.75, common_share: float = 0.25, most_classes: int = 32, least_class: int = 8):
         self.threshold, self.shingle = threshold, shingle
-        rows = [(i, words(t), t) for i, t in sorted(items, key=str) if t]
-        rows = [r for r in rows if len(r[1]) >= least_words]
+        rows = [r for r in ((i, words(t), t) for i, t in sorted(items, key=str)) if r[1]]
         self.term: dict[bytes, int] = {}
-        df = Counter(w for _, ws, _ in rows for w in set(ws))
-        for w in df:
+        n_items, n_words, df = totals or count_words(t for _, _, t in rows)
+        for w in sorted({w for _, ws, _ in rows for w in ws}):
             self.term[w] = len(self.term)
-        mean = sum(len(ws) for _, ws, _ in rows) / max(1, len(rows))
-        idf = {w: log(1 + (len(rows) - n + 0.5) / (n + 0.5)) for w, n in df.items()}
+        mean = n_words / max(1, n_items)
+        idf = {w: log(1 + (n_items - df[w] + 0.5) / (df[w] + 0.5)) for w in self.term}
         own = []
         for i, ws, t in rows:
             tf = Counter(ws)
             raw = {self.term[w]: idf[w] * n * (k1 + 1) / (n + k1 * (1 - b + b * len(ws) / mean)) for w, n in tf.items()}
             whole = sum(raw.values())
-            q, a = halves(t)
+            q, a = halves(t) if len(ws) >= shingle else (ws, ws)
             n_q, n_a = min(shingle, len(q)), min(shingle, len(a))
             own.append((len(ws), i, {t: w / whole for t, w in raw.items()}, (n_q, grams(q, n_q)), (n_a, grams(a, n_a))))
         own.sort(key=lambda r: (r[0], str(r[1])))
         size = max(least_class, -(-len(own) // most_classes))
         classes = [own[k : k + size] for k in range(0, len(own), size)]
         self.classes = []
-        often = {self.term[w]: n for w, n in df.items()}
+        often = {k: df[w] for w, k in self.term.items()}
         for own in classes:
             length = own[-1][0]
             # The most frequent terms count as common while no item gets more than common_share of its score from them.
@@ -184,20 +203,22 @@ class Index:
 
 
 def indexes(benchmark: DataFrame, *, id_col: str, text_col: str, most_chars: int, **params):
-    """Indexes of bounded shards of the test items: one, unless the items have more than most_chars characters. Items without text are left out."""
+    """Indexes of bounded shards of the test items: one, unless the items have more than most_chars characters. Weights are those of all items, whatever the shards; of all items the driver keeps the counts of words."""
     rows = benchmark.where(F.col(text_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("i"), F.col(text_col).alias("t"))
     size = rows.agg(F.sum(F.length("t")).alias("s")).first()["s"] or 0
     shards = max(1, -(-size // most_chars))
+    totals = count_words(r["t"] for r in rows.select("t").toLocalIterator()) if shards > 1 else None
     for k in range(shards):
-        yield Index([(r["i"], r["t"]) for r in rows.where(F.pmod(F.xxhash64("i"), F.lit(shards)) == k).collect()], **params)
+        yield Index([(r["i"], r["t"]) for r in rows.where(F.pmod(F.xxhash64("i"), F.lit(shards)) == k).collect()], totals, **params)
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", most_chars: int = 16 << 20, **params) -> DataFrame:
     """One row for each row of docs and test item that leaked into it: id, item_id, score (0 to 1), question_share, answer_share, at (first word of the passage).
 
     Narrow: the index goes along with the tasks, in shards of bounded size, one pass over the texts for each. Every
-    passage of every text is a query. Null and empty texts and items match nothing, nor do items of fewer than least_words words.
-    Repeated rows give repeated results, null ids stay null, other columns are not read.
+    passage of every text is a query. Null and empty texts and items match nothing, nor do those without words. Items of any
+    length count: one of fewer than five words leaks into each text that holds just these words in a row, so callers who
+    don't want that leave such items out. Repeated rows give repeated results, null ids stay null, other columns are not read.
     """
     spark = docs.sparkSession
     kind, item_kind = docs.schema[id_col].dataType.simpleString(), benchmark.schema[item_id].dataType.simpleString()
@@ -222,7 +243,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", most_chars: int = 16 << 20, **params) -> DataFrame:
-    """The rows of docs, with their columns, whose text holds no test item."""
+    """The rows of docs, with their columns, whose text holds no test item; items and texts as in leaks().
+
+    Narrow: a text passes the shards of the index one after the other in one task. Null and empty texts stay, as do repeated rows and null
+    ids, which are not read. Columns may have any name. Without items all rows stay; the empty table gives the empty table.
+    """
     from pyspark.sql import types as T
 
     small_batches(docs.sparkSession)
