@@ -1,9 +1,13 @@
 """Line dedup by a log-template tree.
 
 A line descends a tree of fixed depth: first by its number of tokens, then by its leading tokens, where tokens with
-digits count as a variable field. In a leaf, a token that no other line has at its place is a variable field too,
-if most of the line's tokens are shared; so lines that differ in a few fields have one template. Templates that recur
-across documents are dropped from all documents but the first. All of it is built from DataFrame functions.
+digits count as a variable field. In a leaf, the tokens of a line that fewest other lines have at their place, up to a fifth of
+them, are variable fields too, if more than one line has each of the others; so lines that differ in a few fields have one
+template, whether or not a field's values repeat. Templates that recur across documents are dropped from all documents but
+the first. All of it is built from DataFrame functions.
+
+A line is known by two hashes of 64 bits, of its leaf and of all its tokens; so two lines are taken for one only if the latter are equal
+among the lines of one start and length.
 """
 
 from __future__ import annotations
@@ -20,24 +24,24 @@ def _lines(text: Column) -> Column:
     return F.split(text, "\n")
 
 
-def _tokens(line: Column) -> Column:
-    """The line's tokens; those with a digit are a variable field."""
-    masked = F.when(line.rlike(r"\d"), F.regexp_replace(line, r"(?<!\S)[^\d\s]*+\d\S*", FIELD)).otherwise(line)
-    return F.filter(F.split(masked, r"\s+"), lambda t: t != "")
-
-
 def _parsed(docs: DataFrame, depth: int) -> DataFrame:
     """(doc, body, pos, tokens, n, leaf, t) for each line; body identifies the text, leaf and t the masked line."""
-    lines = docs.select("doc", "body", F.posexplode(_lines(F.col("text"))).alias("pos", "line"))
-    told = lines.select("doc", "body", "pos", _tokens(F.col("line")).alias("tokens")).withColumn("n", F.size("tokens"))
+    text = F.col("text")
+    # All of it once a text, white space as blanks: a split at one character needs no pattern.
+    text = F.when(text.rlike(r"\d"), F.regexp_replace(text, r"(?<!\S)[^\d\s]*+\d\S*+", FIELD)).otherwise(text)
+    for c in "\t\x0b\x0c\r":
+        text = F.replace(text, F.lit(c), F.lit(" "))
+    lines = docs.select("doc", "body", F.posexplode(_lines(text)).alias("pos", "line"))
+    told = lines.select("doc", "body", "pos", F.array_remove(F.split("line", " "), "").alias("tokens")).withColumn("n", F.size("tokens"))
     return told.withColumn("leaf", F.xxhash64("n", F.slice("tokens", 1, depth))).withColumn("t", F.xxhash64("tokens", F.lit(1)))
 
 
 def generalised(parsed: DataFrame, lines: DataFrame, shared: float, least_tokens: int, most_broadcast: int = 500_000) -> DataFrame:
     """(leaf, t, g): for masked lines of at least least_tokens in leaves that hold several, the template that generalises them.
 
-    A token is shared if another line of the leaf has it at its place, fields of digits too; a value in one line is a field
-    however many documents hold that line.
+    Of each token it counts how many different lines of the leaf have it at its place, of fields of digits too. The least number that
+    a share of `shared` of the line's tokens reaches says how many lines are alike; tokens that fewer have are fields. A line
+    for which this is one has no template but itself.
     lines: parsed without tokens, kept. Leaves with several lines are few; up to most_broadcast of them (16 bytes each) they
     go to the lines, beyond that the lines are dealt by leaf.
     """
@@ -51,11 +55,18 @@ def generalised(parsed: DataFrame, lines: DataFrame, shared: float, least_tokens
     several = several.select("leaf", "t", F.transform("tokens", lambda x: F.xxhash64(x)).alias("tokens"))
     own = materialize(several.groupBy("leaf", "t").agg(F.first("tokens").alias("tokens")), "leaf-lines")
     at = own.select("leaf", "t", F.posexplode("tokens").alias("p", "token"))
-    common = at.groupBy("leaf", "p", "token").agg(F.count("*").alias("k")).where("k > 1").select("leaf", "p", "token", F.lit(True).alias("common"))
+    common = at.groupBy("leaf", "p", "token").agg(F.count("*").alias("k")).where("k > 1")
     at = at.join(common, ["leaf", "p", "token"], "left")
     # A group here is one line.
-    made = at.groupBy("leaf", "t").agg(F.array_sort(F.collect_list(F.struct("p", F.when(F.col("common"), F.col("token")).alias("token")))).alias("parts"), F.avg(F.coalesce("common", F.lit(False)).cast("int")).alias("share"))
-    return made.where(F.col("share") >= shared).select("leaf", "t", F.xxhash64(F.transform("parts", lambda x: F.coalesce(x["token"], F.lit(0).cast("long")))).alias("g"))
+    made = at.groupBy("leaf", "t").agg(F.sort_array(F.collect_list(F.struct("p", "token", F.coalesce("k", F.lit(1)).alias("k")))).alias("parts"))
+    fields = F.floor(F.size("parts") * (1 - shared) + 1e-9).cast("int")
+
+    def template(alike: Column) -> Column:
+        return F.struct(alike.alias("alike"), F.xxhash64(F.transform("parts", lambda x: F.when(x["k"] >= alike, x["token"]).otherwise(F.lit(0).cast("long")))).alias("g"))
+
+    # An array of one element, so that the least number is found once a line.
+    told = F.inline(F.transform(F.array(F.get(F.sort_array("parts.k"), fields)), template))
+    return made.select("leaf", "t", told).where("alike > 1").select("leaf", "t", "g")
 
 
 def drop_recurring_lines(
@@ -68,7 +79,8 @@ def drop_recurring_lines(
     keeps its lines; every other drops them, repeats within it included. Lines without tokens, and all lines of documents
     that keep them, stay byte for byte. A text that loses all lines is empty. A null text stays null with no lines.
     Documents are told apart by id; rows of one id and one text get one result each, rows without id count as one document
-    after all others. Columns n_lines and n_dropped of the input are replaced.
+    after all others. Texts may be of any length. The empty table gives the empty table. Columns n_lines and n_dropped of the
+    input are replaced, others may have any name.
     """
     cols = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     # Nothing is the largest document: ids order first by being null.
@@ -86,7 +98,7 @@ def drop_recurring_lines(
     doomed = held.join(stands.select("leaf", "g", "first"), ["leaf", "g"]).where("doc <> first").select("leaf", "t", "doc")
     # The flags of a document's lines in order, so that filtering is one lookup a line however many go.
     told = lines.join(doomed.withColumn("gone", F.lit(True)), ["leaf", "t", "doc"], "left").select("doc", "body", "pos", F.coalesce("gone", F.lit(False)).alias("gone"))
-    flags = told.groupBy("doc", "body").agg(F.array_sort(F.collect_set(F.struct("pos", "gone"))).alias("f"), F.max("gone").alias("some")).where("some")
+    flags = told.groupBy("doc", "body").agg(F.sort_array(F.collect_set(F.struct("pos", "gone"))).alias("f"), F.max("gone").alias("some")).where("some")
     flags = flags.select(F.col("doc").alias("__doc"), F.col("body").alias("__body"), F.col("f.gone").alias("__gone"))
     keyed = docs.select(*cols).withColumn("__doc", doc).withColumn("__body", body)
     out = keyed.join(flags, ["__doc", "__body"], "left")

@@ -87,3 +87,60 @@ def test_lines_of_four_to_seven_tokens_go_from_three_documents_on(spark):
     for n, kept in ((2, True), (3, False)):
         rows = [(i, prose(rng, 9) + f"\nThis page was written by {prose(rng, 1)}") for i in range(n)]
         assert [t for _, t, _, _ in sorted(run(spark, rows))] == [t if kept or not i else t.split("\n")[0] for i, t in rows]
+
+
+def test_fields_whose_values_repeat(spark):
+    rng = random.Random(16)
+    rows, kept = [], []
+    for i in range(12):
+        own = prose(rng, 9)
+        city, day, year = ("Berlin", "Paris", "Rome")[i % 3], ("Monday", "Tuesday")[i // 3 % 2], 2000 + i % 4
+        weather = f"Weather report issued for the city of {city} by station staff today"
+        both = f"Weather report of {city} and all of its suburbs on {day} in {year} by station staff"
+        kept.append(own)
+        rows.append((i, "\n".join([own, weather, both])))
+    assert [t for _, t, _, _ in sorted(run(spark, rows))] == [rows[0][1], *kept[1:]]
+
+
+def plain_templates(rows, depth=3):
+    """The texts that are left, line by line: each pair of lines of a leaf is compared."""
+    def masked(line):
+        return tuple("<*>" if any(c.isdigit() for c in w) else w for w in line.split())
+
+    parsed = {i: [masked(x) for x in t.split("\n")] for i, t in rows}
+    different = {x for xs in parsed.values() for x in xs if x}
+    docs = {x: {i for i in parsed if x in parsed[i]} for x in different}
+
+    def template(x):
+        leaf = [y for y in different if len(y) == len(x) and y[:depth] == x[:depth]]
+        if len(x) <= depth or len(leaf) < 2 or len(set.union(*(docs[y] for y in leaf))) < 2:
+            return x
+        k = [sum(y[p] == w for y in leaf) for p, w in enumerate(x)]
+        alike = sorted(k)[len(x) // 5]
+        return x if alike < 2 else tuple(w if c >= alike else None for w, c in zip(x, k, strict=True))
+
+    made = {x: (x[:depth], template(x)) for x in different}
+    held = {}
+    for x, g in made.items():
+        held.setdefault(g, set()).update(docs[x])
+    need = lambda n: 2 if n >= 8 else 3 if n >= 4 else 10
+    gone = lambda i, x: bool(x) and len(held[made[x]]) >= need(len(x)) and min(held[made[x]]) != i
+    return [(i, "\n".join(line for line, x in zip(t.split("\n"), parsed[i], strict=True) if not gone(i, x))) for i, t in rows]
+
+
+def test_against_pairs_of_lines(spark):
+    rng = random.Random(18)
+    stock = [prose(rng, 1) for _ in range(6)]
+    rows = []
+    for i in range(60):
+        lines = [prose(rng, 8)]
+        for _ in range(rng.randint(1, 8)):
+            k = rng.randrange(8)
+            words = [f"w{chr(97 + k)}{chr(97 + p)}" for p in range(4 + 2 * k)]
+            for _ in range(rng.choice((0, 1, 1, 2, 3))):
+                words[rng.randrange(len(words))] = rng.choice([*stock, f"{rng.randrange(99)}", prose(rng, 1)])
+            lines.append(rng.choice([" ", "\t", "  "]).join(words))
+        rows.append((i, "\n".join(lines)))
+    want = plain_templates(rows)
+    assert sum(len(t) for _, t in want) < 0.9 * sum(len(t) for _, t in rows)
+    assert [(i, t) for i, t, _, _ in sorted(run(spark, rows))] == want
