@@ -8,8 +8,10 @@ distance to it, and a search follows only the edges within the radius. Trees are
 rather than by a broadcast, as all trees together grow with the corpus. A crowded shard is dealt in blocks: a
 tree for each block, and the other blocks as queries. Tasks return a spanning forest of the links that they find.
 
-near_components links by the Jaccard similarity itself, for which a fingerprint is only an estimate: a prefix filter
-finds all candidates, and each is verified on the whole sets of shingles.
+near_components links by the Jaccard similarity itself, for which a fingerprint is only an estimate. Its shards are
+those of a prefix filter, which no similar pair escapes; a shard is a BK-tree of fingerprints of 256 bits, searched with a radius
+over five deviations wider than the distance of the least similar pairs; and each candidate is verified on the whole
+sets of shingles.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.llm.components import connected_components
-from plumbline.llm.store import materialize, shuffle_partitions, small_batches, table
+from plumbline.llm.store import discard, materialize, shuffle_partitions, small_batches, table
 
 #: _BITS[v, k] is bit k of byte v.
 _BITS = (np.arange(256)[:, None] >> np.arange(8) & 1).astype(np.int64)
@@ -49,9 +51,13 @@ def bits_of(text: str | None, width: int = 4, seed: int = 42, words: int = 1, bl
         length = np.fromiter(map(len, tokens), np.int64, len(tokens))
         end = np.cumsum(length + 1) - 1
         start, end = (end - length)[: len(tokens) - width + 1].tolist(), end[width - 1 :].tolist()
+    return majority((np.array([digest(joined[a:b], seed) for a, b in zip(start[k : k + block], end[k : k + block], strict=True)], np.uint64) for k in range(0, len(end), block)), len(end), words)
+
+
+def majority(blocks: Iterator[np.ndarray], n: int, words: int) -> np.ndarray:
+    """The bits that are set in over half of n unsigned hashes, which come in blocks; each word after the first is that of the hashes mixed with its number."""
     counts = np.zeros((words, 8, 8), np.int64)
-    for k in range(0, len(end), block):
-        h = np.array([digest(joined[a:b], seed) for a, b in zip(start[k : k + block], end[k : k + block], strict=True)], np.uint64)
+    for h in blocks:
         for w in range(words):
             x = h
             if w:  # the finaliser of SplitMix64
@@ -61,7 +67,7 @@ def bits_of(text: str | None, width: int = 4, seed: int = 42, words: int = 1, bl
                 x = x ^ x >> np.uint64(31)
             at = x.view(np.uint8).reshape(-1, 8).astype(np.int64) + _PLACES
             counts[w] += np.bincount(at.ravel(), minlength=2048).reshape(8, 256) @ _BITS
-    ones = (counts.reshape(words, 64) * 2 > len(end)).astype(np.uint8)
+    ones = (counts.reshape(words, 64) * 2 > n).astype(np.uint8)
     return np.packbits(ones, axis=1, bitorder="little").view(np.uint64).ravel()
 
 
@@ -288,16 +294,59 @@ def _whole_runs(batches, names: list[str], key: int) -> Iterator[np.ndarray]:
     yield rest
 
 
-def near_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.8, seed: int = 42, crowd: int = 1024, sample: int = 20_000, most_common: int = 200_000) -> DataFrame:
+#: Words of a long fingerprint, and the bits by which those of texts with a similarity of 0.8 may differ. Of all sizes of
+#: two such sets, a bit differs with a chance of 0.1875 at most (sets of 4 and 5), over 20 shingles of 0.158; 80 of 256 are
+#: 5.1 deviations beyond the one and 6.8 beyond the other.
+LONG_WORDS, LONG_RADIUS = 4, 80
+_FP = [f"f{k}" for k in range(LONG_WORDS)]
+
+
+def _long_values(rows: np.ndarray) -> list[int]:
+    """Long fingerprints, a row of signed words each, as integers."""
+    raw, size = np.ascontiguousarray(rows).tobytes(), rows.shape[1] * 8
+    return [int.from_bytes(raw[k : k + size], "little") for k in range(0, len(raw), size)]
+
+
+def in_blocks(rows: DataFrame, by: str) -> DataFrame:
+    """Rows of groups of `blocks` blocks, with own, the block that column `by` falls in, and once for each pair, a number of it and another block."""
+    rows = rows.withColumn("own", F.pmod(F.xxhash64(by, F.lit(7)), F.col("blocks")))
+    return rows.withColumn("pair", F.explode(F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda t: F.least("own", t) * F.col("blocks") + F.greatest("own", t))))
+
+
+def similar_sets(x: list[np.ndarray], y: list[np.ndarray], p: int, q: int, width: int = 8192) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs of sets (sorted arrays) of x and of y with a Jaccard similarity of p / q or more, counted as products of 0-1 matrices of `width` columns."""
+    sizes = [np.array([len(v) for v in side], np.int64) for side in (x, y)]
+    flat = np.concatenate([*x, *y])
+    owner = np.repeat(np.arange(len(x) + len(y)), np.concatenate(sizes))
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order], owner[order]
+    column = np.cumsum(np.append(0, flat[1:] != flat[:-1]))
+    several = np.bincount(column)[column] > 1 if len(column) else np.empty(0, bool)
+    column, owner = np.unique(column[several], return_inverse=True)[1], owner[several]
+    shared = np.zeros((len(x), len(y)), np.float32)
+    edges = np.searchsorted(column, np.arange(0, (int(column[-1]) + 1 if len(column) else 0) + width, width))
+    for at, (a, b) in enumerate(zip(edges, edges[1:], strict=False)):
+        held = np.zeros((len(x) + len(y), width), np.float32)
+        held[owner[a:b], column[a:b] - at * width] = 1
+        shared += held[: len(x)] @ held[len(x) :].T
+    return np.nonzero(shared * (p + q) >= np.add.outer(sizes[0], sizes[1]) * p)
+
+
+def near_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.8, seed: int = 42, radius: int = LONG_RADIUS, crowd: int = 1024, sample: int = 20_000, most_common: int = 200_000) -> DataFrame:
     """(id, component_id) of documents, which link if the Jaccard similarity of their sets of shingles reaches the given one.
 
-    Exact but for equal 64-bit hashes of different shingles, so whether two documents link depends on these two alone.
-    Similar sets share a shingle among the first of any one order, as many as a set's size less what it must have in
-    common, plus one (prefix filter); the order goes from rare to frequent. First, each holder of such a shingle is
-    compared with the next one by size; then all those that are still in different components, so that n near copies
-    do not make n² comparisons. A comparison counts the shared shingles of the whole texts. The holders of a crowded
-    shingle are dealt in pairs of blocks. Null and empty texts are one class. Rows without id are in the component of
-    an equal set with an id, else null.
+    Shards: similar sets share a shingle among the first of any one order, as many as a set's size less what it must
+    have in common, plus one (prefix filter); the order goes from rare to frequent. Candidates: in each shard, first the
+    next one by size, then, by a BK-tree, all those in other components, if their fingerprints of 256 bits, taken over the sets,
+    differ in at most radius bits. Links: candidates that share enough shingles of the whole texts. Pairs of the second kind are
+    not listed: a spanning forest of them tells which components may meet, and the members of such a family are compared
+    tile by tile, so that n near copies do not make n² rows. Whether two documents link depends on these two alone, not on the size of the table. The radius
+    is fit for a similarity of 0.8 or more; a similar pair lies beyond it with a chance of 3e-7 at most. Different shingles with equal
+    64-bit hashes count as one. The holders of a crowded shingle are dealt in pairs of blocks.
+
+    Null and empty texts and those without words are one class. Repeated rows come back repeated; texts with equal sets are one
+    class and are compared once, however long. Rows that share an id but not the text share their component. Rows without id
+    are in the component of an equal set with an id, else null. Other columns are not read. The empty table gives the empty table.
     """
     spark = docs.sparkSession
     ratio = Fraction(similarity).limit_denominator(1000)
@@ -319,12 +368,14 @@ def near_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     def run(batches):
         for b in batches:
             sets, columns = _set_columns(b.column(1).to_pylist(), width, seed)
-            yield pa.RecordBatch.from_arrays([b.column(0), *columns, _lists([first(x) for x in sets])], names=[id_col, "k", "l", "n", "first"])
+            fps = np.array([majority([x.view(np.uint64)], len(x), LONG_WORDS) for x in sets], np.uint64).reshape(-1, LONG_WORDS).view(np.int64)
+            yield pa.RecordBatch.from_arrays([b.column(0), *columns, _lists([first(x) for x in sets]), *[pa.array(np.ascontiguousarray(f)) for f in fps.T]], names=[id_col, "k", "l", "n", "first", *_FP])
 
-    sets = materialize(docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, k long, l long, n long, first array<long>"), "shingle-sets")
+    longs = ", ".join(f"{f} long" for f in _FP)
+    sets = materialize(docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, k long, l long, n long, first array<long>, {longs}"), "shingle-sets")
     classes = materialize(sets.groupBy("k", "l").agg(F.min(id_col).alias("node")), "shingle-classes")
-    lead = sets.join(classes, ["k", "l"]).where((F.col(id_col) == F.col("node")) & (F.col("n") > 0)).dropDuplicates(["k", "l"])
-    held = lead.select(F.col("node").cast("long").alias("node"), "n", F.posexplode("first").alias("at", "h")).select("h", "n", F.col("at").cast("long").alias("at"), "node")
+    lead = sets.join(classes, ["k", "l"]).where((F.col(id_col) == F.col("node")) & (F.col("n") > 0)).withColumn("node", F.col("node").cast("long")).dropDuplicates(["k", "l"])
+    held = lead.select("node", "n", F.posexplode("first").alias("at", "h")).select("h", F.col("n").cast("int").alias("n"), F.col("at").alias("at"), "node")
 
     def not_alone(batches):
         for rows in _whole_runs(batches, ["h", "n", "at", "node"], 1):
@@ -335,6 +386,8 @@ def near_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in rows[keep].T], names=["h", "n", "at", "node"])
 
     shared = materialize(held.repartition(parts, "h").sortWithinPartitions("h").mapInArrow(not_alone, "h long, n long, at long, node long"), "shared-shingles")
+    # What the candidates' tests need, of documents that share a shingle alone.
+    marks = materialize(lead.select("node", "k", "l", *_FP).join(shared.select("node").distinct(), "node", "left_semi"), "marks")
 
     def next_ones(batches):
         for rows in _whole_runs(batches, ["h", "n", "at", "node"], 1):
@@ -342,53 +395,104 @@ def near_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
             ok = (a[:, 0] == b[:, 0]) & _may_reach(a[:, 1], a[:, 2], b[:, 1], b[:, 2], p, q)
             yield _pair_batch([np.stack([a[ok, 3], b[ok, 3]], axis=1)])
 
-    def others(batches):
-        found, size = [], 0
-        for rows in _whole_runs(batches, ["h", "pair", "own", "n", "at", "node", "root"], 2):
+    def families(batches):
+        """Roots whose members may be similar, as a spanning forest of them."""
+        names, forest, found = ["h", "pair", "own", "n", "at", "root", *_FP], Forest(), []
+        for rows in _whole_runs(batches, names, 2):
             edges = np.flatnonzero((rows[1:, :2] != rows[:-1, :2]).any(axis=1)) + 1
             for r in np.split(rows, edges):
-                own, n, at, node, root = r[:, 2:].T
-                if len(r) < 2 or (root == root[0]).all():
+                own, n, at, root = r[:, 2:6].T
+                if len(r) < 2 or len({forest.top(x) for x in set(root.tolist())}) < 2:
                     continue
-                # One block: all pairs. Two: those across.
-                x, y = np.triu_indices(len(r), 1) if own[0] == own[-1] else (k.ravel() for k in np.meshgrid(np.flatnonzero(own == own[0]), np.flatnonzero(own != own[0])))
-                apart = root[x] != root[y]
-                x, y = x[apart], y[apart]
-                ok = _may_reach(n[x], at[x], n[y], at[y], p, q)
-                found.append(np.stack([node[x[ok]], node[y[ok]]], axis=1))
-                size += len(found[-1])
-                if size > 200_000:
-                    yield _pair_batch(found)
-                    found, size = [], 0
-        yield _pair_batch(found)
+                # One block: each is searched among those before it. Two: the second block's among the first's.
+                values, two, tree = _long_values(r[:, 6:]), own[0] != own[-1], BKTree()
+                for k, v in enumerate(values):
+                    if not two or own[k] != own[0]:
+                        near = np.fromiter(tree.within(v, radius), np.int64)
+                        near = near[(root[near] != root[k]) & _may_reach(n[near], at[near], n[k], at[k], p, q)]
+                        found += [(int(root[k]), x) for x in set(root[near].tolist()) if forest.join(int(root[k]), x)]
+                    if not two or own[k] == own[0]:
+                        tree.add(v)
+            yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+            found = []
+
+    def tiles(batches):
+        """Links between members of different roots that span the components of all of them; a tile is one block of a family, or two."""
+        key, held = None, {}
+
+        def links() -> list[tuple[int, int]]:
+            forest, own = Forest(), np.array(held["own"])
+            first = np.flatnonzero(own == own[0])
+            second = np.flatnonzero(own != own[0]) if own[0] != own[-1] else first
+            node, root = np.array(held["node"]), np.array(held["root"])
+            i, j = similar_sets([held["s"][k] for k in first], [held["s"][k] for k in second], p, q)
+            i, j = first[i], second[j]
+            apart = root[i] != root[j]
+            return [(node[x], node[y]) for x, y in zip(i[apart].tolist(), j[apart].tolist(), strict=True) if forest.join(int(root[x]), int(root[y]))]
+
+        for b in batches:
+            found = []
+            keys = list(zip(b.column("family").to_pylist(), b.column("pair").to_pylist(), strict=True))
+            lists = b.column("s")
+            ends, flat = np.asarray(lists.offsets), np.asarray(lists.values)
+            rest = [b.column(c).to_pylist() for c in ("own", "node", "root")]
+            for k, (own, node, root) in enumerate(zip(*rest, strict=True)):
+                if keys[k] != key:
+                    if held and len(held["own"]) > 1:
+                        found += links()
+                    key, held = keys[k], {"own": [], "node": [], "root": [], "s": []}
+                for c, v in (("own", own), ("node", node), ("root", root), ("s", flat[ends[k] : ends[k + 1]].copy())):
+                    held[c].append(v)
+            yield pa.RecordBatch.from_arrays([pa.array([int(f[c]) for f in found], pa.int64()) for c in (0, 1)], names=["a", "b"])
+        found = links() if held and len(held["own"]) > 1 else []
+        yield pa.RecordBatch.from_arrays([pa.array([int(f[c]) for f in found], pa.int64()) for c in (0, 1)], names=["a", "b"])
 
     def whole(batches):
         for b in batches:
             own, columns = _set_columns(b.column(1).to_pylist(), width, seed)
-            yield pa.RecordBatch.from_arrays([b.column(0), *columns, _lists(own)], names=["node", "k", "l", "n", "s"])
+            # Only the row's own class: ids may repeat with other texts.
+            mine = pa.array((np.asarray(columns[0]) == np.asarray(b.column("k"))) & (np.asarray(columns[1]) == np.asarray(b.column("l"))))
+            yield pa.RecordBatch.from_arrays([b.column(0), *columns, _lists(own)], names=["node", "k", "l", "n", "s"]).filter(mine)
+
+    def whole_sets(nodes: DataFrame, label: str) -> DataFrame:
+        """(node, n, s): the whole sets of column node."""
+        wanted = marks.select("node", "k", "l").join(nodes, "node", "left_semi")
+        texts = docs.select(F.col(id_col).cast("long").alias("node"), text_col).join(wanted, "node").select("node", text_col, "k", "l")
+        # A row for each set: rows with equal texts end here, before they are paired.
+        return materialize(texts.mapInArrow(whole, "node long, k long, l long, n long, s array<long>").groupBy("node", "k", "l", "n").agg(F.first("s").alias("s")).select("node", "n", "s"), label)
 
-    def similar(pairs: DataFrame, label: str) -> DataFrame:
-        """Those pairs of nodes whose whole sets are similar enough."""
-        nodes = pairs.select(F.col("a").alias("__node")).unionAll(pairs.select(F.col("b").alias("__node"))).distinct()
-        texts = docs.join(nodes, F.col(id_col).cast("long") == F.col("__node"), "left_semi").select(F.col(id_col).cast("long").alias("node"), text_col)
-        named = classes.select("k", "l", F.col("node").cast("long").alias("node"))
-        own = materialize(texts.mapInArrow(whole, "node long, k long, l long, n long, s array<long>").join(named, ["node", "k", "l"], "left_semi").dropDuplicates(["node", "k", "l"]).select("node", "n", "s"), f"{label}-sets")
-        both = pairs.join(own.toDF("a", "n", "s"), "a").join(own.toDF("b", "m", "z"), "b")
-        return materialize(both.where(F.size(F.array_intersect("s", "z")) * (p + q) >= (F.col("n") + F.col("m")) * p).select("a", "b").distinct(), f"{label}-links")
+    def apart(x: str, y: str):
+        return sum((F.bit_count(F.col(f"{x}.{f}").bitwiseXOR(F.col(f"{y}.{f}"))) for f in _FP), F.lit(0))
 
     tried = materialize(shared.repartition(parts, "h").sortWithinPartitions("h", "n", "node").mapInArrow(next_ones, "a long, b long").distinct(), "next-pairs")
-    links = similar(tried, "next")
+    near = tried.join(marks.alias("x"), F.col("a") == F.col("x.node")).join(marks.alias("y"), F.col("b") == F.col("y.node")).where(apart("x", "y") <= radius)
+    near = materialize(near.select("a", "b").distinct(), "near-pairs")
+    own = whole_sets(near.select(F.col("a").alias("node")).unionAll(near.select(F.col("b").alias("node"))).distinct(), "next-sets")
+    both = near.join(own.toDF("a", "n", "s"), "a").join(own.toDF("b", "m", "z"), "b")
+    links = materialize(both.where(F.size(F.array_intersect("s", "z")) * (p + q) >= (F.col("n") + F.col("m")) * p).select("a", "b").distinct(), "next-links")
+    discard(own)
+
+    # All others: families of roots by BK-trees over the shards, then the members of a family in tiles.
     roots = connected_components(links)
     told = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = told.groupBy("h").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.count("*").alias("count")).where("least <> most").select("h", F.ceil(F.col("count") / crowd).alias("blocks"))
-    dealt = told.join(mixed, "h").withColumn("own", F.pmod(F.xxhash64("node", F.lit(7)), F.col("blocks")))
-    dealt = dealt.withColumn("pair", F.explode(F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda t: F.least("own", t) * F.col("blocks") + F.greatest("own", t))))
-    dealt = dealt.select("h", "pair", "own", "n", "at", "node", "root").repartition(parts, "h", "pair").sortWithinPartitions("h", "pair", "own")
-    more = materialize(dealt.mapInArrow(others, "a long, b long").distinct().join(tried, ["a", "b"], "left_anti"), "other-pairs")
+    dealt = in_blocks(told.join(mixed, "h").join(marks.select("node", *_FP), "node"), "node")
+    dealt = dealt.select("h", "pair", "own", "n", "at", "root", *_FP).repartition(parts, "h", "pair").sortWithinPartitions("h", "pair", "own")
+    more = materialize(dealt.mapInArrow(families, "a long, b long").distinct(), "families")
     if not more.isEmpty():
-        roots = connected_components(links.unionAll(similar(more, "other")))
+        family = connected_components(more).toDF("root", "family")
+        members = marks.select("node").distinct().join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root")).join(family, "root")
+        members = materialize(members, "family-members")
+        own = whole_sets(members.select("node"), "family-sets").join(members, "node")
+        blocks = own.groupBy("family").agg(F.greatest(F.ceil(F.count("*") / crowd), F.ceil(F.sum("n") / (crowd * 2048))).alias("blocks"))
+        tiled = in_blocks(own.join(blocks, "family"), "node").select("family", "pair", "own", "node", "root", "s").repartition(parts, "family", "pair").sortWithinPartitions("family", "pair", "own")
+        links = links.unionAll(materialize(tiled.mapInArrow(tiles, "a long, b long").distinct(), "tile-links"))
+        roots = connected_components(links)
     named = classes.join(roots.withColumnRenamed("node", "__node"), F.col("node").cast("long") == F.col("__node"), "left").select("k", "l", F.coalesce("root", F.col("node").cast("long")).alias("component_id"))
-    return sets.join(named, ["k", "l"]).select(id_col, "component_id")
+    out = materialize(sets.select(id_col, "k", "l").join(named, ["k", "l"]).select(id_col, "component_id"), "near-components")
+    for t in (sets, classes, shared, marks, tried, near, links, more):
+        discard(t)
+    return out
 
 
 def simhash_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 4, seed: int = 42, radius: int = 4, per_shard: int = 128, crowd: int = 1024) -> DataFrame:

@@ -32,10 +32,10 @@ def folder(spark, tmp_path_factory):
             lines.append(passage)
         docs.append((i, "\n".join(lines)))
     base = prose(rng, "bb", 400).split()
-    for k in range(6):  # near copies on one line, in different words here and there
+    for k in range(6):  # near copies on one line, with words put in here and there, so that their lines differ in length
         words = list(base)
         for _ in range(k):
-            words[rng.randrange(400)] = prose(rng, "bb", 1)
+            words.insert(rng.randrange(400), prose(rng, "bb", 1))
         docs.append((200 + k, " ".join(words)))
     docs += [(300, docs[4][1]), (301, "12 34"), (302, None), (303, ""), (400, prose(rng, "aa", 50) + " " + items[3][1] + " " + prose(rng, "aa", 20)), (None, prose(rng, "aa", 60)), (500, prose(rng, "bb", 30)), (500, prose(rng, "bb", 30))]
     docs.append(docs[-1])
@@ -64,7 +64,7 @@ def test_stages(spark, folder):
     assert texts[300] == "" and all(len(r.text) == r.n_chars for r in seen["line_dedup"])
     near = ids("near_dedup")
     assert near == sorted([*(str(i) for i in range(150)), "200", "300", "400", "None", "500", "500"])
-    assert ids("decontaminate") == sorted(set(near) - {"400"}) + ["500"] or ids("decontaminate") == sorted([x for x in near if x != "400"])
+    assert ids("decontaminate") == [x for x in near if x != "400"]
     assert len(seen["bpe"]) == len(seen["decontaminate"]) and all(r.n_tokens >= 0 for r in seen["bpe"])
     whole = cp.run(spark, path).collect()
     assert sorted(map(tuple, whole), key=str) == sorted(map(tuple, seen["bpe"]), key=str)
