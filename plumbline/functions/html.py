@@ -149,6 +149,29 @@ def features(html: str | None) -> dict:
     return out | {"text": body.text(), "skeleton": skeleton(root), "comparison": comparison_hash(root)}
 
 
+def signs(html: str | None) -> dict:
+    root = parse(html)
+    headings = [" ".join(n.text(set()).split()) for n in root.walk() if n.tag in ("title", "h1")]
+    form = classes = kind = data = False
+    strings = []
+    for n in root.walk():
+        a = n.attrs
+        strings += [k for k in n.kids if isinstance(k, str)]
+        form = form or bool(re.fullmatch(r"(?i)challenge-form|cf-challenge|cf-error-details", a.get("id") or ""))
+        kind = kind or "Product" in (a.get("itemtype") or "")
+        name = a.get("class") or ""
+        classes = classes or "product" in name or "item" in name or bool({"goods", "goods-info"} & set(name.split())) or "data-product" in a
+        if n.tag == "script" and a.get("type") == "application/ld+json":
+            data = data or any(x in "".join(k for k in n.kids if isinstance(k, str)) for x in ('"Product"', '"product"'))
+    return {"headings": headings, "challenge_form": form, "visible": " ".join(root.text().split()), "strings": strings, "product_class": classes or kind, "product_type": kind, "product_json": data}
+
+
+@vectorized("headings array<string>, challenge_form boolean, visible string, strings array<string>, product_class boolean, product_type boolean, product_json boolean")
+def page_signs(html: pd.Series) -> pd.DataFrame:
+    """What tells errors, challenges and product pages: titles and first headings, ids of challenges, the text that is seen, all strings, and marks of products."""
+    return pd.DataFrame([signs(h) for h in html], columns=["headings", "challenge_form", "visible", "strings", "product_class", "product_type", "product_json"])
+
+
 @vectorized(FEATURES)
 def page_features(html: pd.Series) -> pd.DataFrame:
     """All features of a page as one struct; null counts as empty."""

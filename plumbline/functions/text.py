@@ -2,14 +2,38 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Formats, abbreviations in the order in which they apply, and replacement characters.
+# Formats, abbreviations in the order in which they apply, replacement characters, words, patterns and units.
 DATE_FORMATS = ["yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "dd.MM.yyyy HH:mm:ss"]
 ADDRESS_WORDS = [(r"ул\.", "улица"), (r"пр\.", "проспект"), (r"пр-т\.", "проспект"), (r"пер\.", "переулок"), (r"д\.", "дом"), (r"корп\.", "корпус"), (r"стр\.", "строение"), (r"лит\.", "литера"), (",", " "), (r"\.", " "), (r"\s+", " ")]
 SYMBOLS = [("×", "x"), ("≥", ">="), ("≤", "<="), ("≠", "!="), ("±", "+/-"), ("°", " град."), ("²", "2"), ("³", "3"), ("–", "-"), ("—", "-"), ("…", "..."), ("«", '"'), ("»", '"'), ("“", '"'), ("”", '"'), ("’", "'"), ("•", "-"), ("\u00a0", " ")]
-ERROR_MODULES = [("crawler", "crawl|fetch|http|timeout|browser"), ("llm", "llm|ai |token|model"), ("upload", "upload|graph|chunk"), ("convert", "convert|pdf|docx|rtf"), ("storage", "disk|file|permission")]
+#: Modules of error texts, the special ones first, by parts of words.
+ERROR_MODULES = [
+    ("pdf", ["pdf", "конверт", "libreoffice", "soffice"]),
+    ("graph", ["граф", "graph"]),
+    ("files", ["файл", "скачив", "download"]),
+    ("cards", ["карточ", "docx"]),
+    ("ai", ["sgr", "llm", "ии", "токен", "aitunnel", "ollama", "litellm", "модел"]),
+    ("text", ["markdown", "текст"]),
+    ("crawler", ["краул", "crawl", "страниц", "браузер", "playwright", "сайт", "таймаут", "timeout", "завис"]),
+]
+CHALLENGE_MARKS = ["checking your browser", "cf-browser-verification", "__cf_chl", "just a moment", "attention required", "проверяем браузер", "ddos-guard", "access denied"]
+CHALLENGE_HEADING = r"^(?:just a moment|attention required|checking your browser|verify you are human|проверяем браузер|проверка браузера|подтвердите, что вы человек)(?:[.!…]|\s|$)"
+ERROR_HEADING = (
+    r"^(?:error|ошибка)\s*[: -]?\s*(?:40[0348]|410|429|50[0-4])\s*[.!]?$|"
+    r"^(?:(?:error|ошибка)\s*[: -]?\s*)?(?:40[0348]|410|429|50[0-4])\s*[-:–—]?\s*(?:not found|gone|forbidden|bad request|too many requests|internal server error|bad gateway|service unavailable|gateway time.?out|страница не найдена|доступ запрещ[её]н)(?:\b|$)|"
+    r"^(?:page not found|not found|access denied|forbidden|service unavailable|bad gateway|internal server error|gateway time.?out|too many requests|страница не найдена|страница удалена|доступ запрещ[её]н|сайт временно недоступен|сайт на техническом обслуживании|технические работы)(?:\s*[.!:|–—-].*)?$"
+)
+GONE_HEADING = r"^(?:ошибка|error)\s*[: -]?\s*(?:404|410)\s*[.!]?$|^(?:404|410)\s*[-:–—]?\s*(?:not found|gone|страница не найдена|страница удалена)(?:\b|$)|^(?:page not found|not found|gone|страница не найдена|страница удалена)(?:[.!]|$)"
+PRICE_TEXT, BUY_TEXT, ATTRIBUTE_TEXT = r"₽|$|€|руб|цена|price|cost|стоимость|сумма", "купить|в корзину|buy|add to cart|cart|корзина", "артикул|sku|art|модель|model|характеристики|specifications|код товара"
+NETWORK_ERRORS = r"aiohttp|curl_cffi|playwright|OSError|ConnectionError|ConnectionResetError|ConnectionRefusedError|ConnectionAbortedError|BrokenPipeError|gaierror|SSLError"
+NO_RETRY = ["ok", "not_found", "gone", "soft_not_found", "out_of_scope", "internal_error", "http_error"]
+UNITS = ["мм", "см", "м", "км", "дм", "мкм", "кг", "г", "т", "л", "мл", "с", "сек", "мин", "ч", "сут", "МПа", "бар", "Вт", "вт", "С", "°С", "м2", "м3", "м²", "м³", "слой", "тн", "г/м2", "г/м²"]
+NAME_MARKS = "°º˚∘̊®™«»<>:\"|?*\n\r"
 
 
 def parsed_date(s: Column) -> Column:
@@ -128,10 +152,10 @@ def duration(seconds: Column) -> Column:
 
 
 def error_module(message: Column) -> Column:
-    low, out = F.lower(message), None
-    for name, pattern in ERROR_MODULES:
-        out = F.when(low.rlike(pattern), name) if out is None else out.when(low.rlike(pattern), name)
-    return out.otherwise("other")
+    """The module of an error text: the first whose words it holds, else other."""
+    low = F.lower(message)
+    holds = [(name, [low.contains(w) for w in words]) for name, words in ERROR_MODULES]
+    return F.coalesce(*[F.when(reduce(lambda a, b: a | b, tests), name) for name, tests in holds], F.lit("other"))
 
 
 def http_status(message: Column) -> Column:
@@ -160,26 +184,66 @@ def price(s: Column) -> Column:
     return F.regexp_replace(F.trim(s), r"^(\d+)\.0+$", "$1")
 
 
-def fetch_outcome(status: Column, exception: Column) -> Column:
-    """struct<reason, retryable> of a fetch."""
-    r = lambda name, again: F.struct(F.lit(name).alias("reason"), F.lit(again).alias("retryable"))
-    low = F.lower(F.coalesce(exception, F.lit("")))
-    return (
-        F.when(low.rlike("timeout|timed out"), r("timeout", True)).when(low.rlike("dns|resolve|name or service"), r("dns", False)).when(low.rlike("ssl|certificate"), r("tls", False)).when(low != "", r("network", True))
-        .when(status.isin(404, 410), r("not_found", False)).when(status.isin(401, 403), r("forbidden", False)).when(status == 429, r("rate_limited", True)).when(status >= 500, r("server", True)).when(status >= 400, r("client", False)).otherwise(r("ok", False))
+def fetch_outcome(status: Column, exception: Column, page: Column | None = None, gone: Column | None = None) -> Column:
+    """struct<reason, retryable> of a fetch. exception: module and class of what was raised, null if nothing was.
+
+    page: what page_problem says of an answer with status 200; gone: whether it is soft_not_found.
+    """
+    page, gone = F.lit(None).cast("string") if page is None else page, F.lit(False) if gone is None else gone
+    raised = F.when(F.lower(exception).contains("timeout"), "timeout").when(exception.rlike(NETWORK_ERRORS), "network_error").when(exception.isNotNull(), "internal_error")
+    seen = F.when(gone, "soft_not_found").when(page == "challenge", "blocked").when(page == "empty", "empty").when(page.isNotNull(), "unavailable").otherwise("ok")
+    by_status = (
+        F.when(status == 404, "not_found").when(status == 410, "gone").when(status == 408, "timeout").when(status.isNull() | (status == 0), "empty").when(status == 429, "rate_limited")
+        .when(status >= 500, "unavailable").when(status.isin(401, 403), "blocked").when(status == 200, seen).otherwise("http_error")
     )
+    reason = F.coalesce(raised, by_status)
+    return F.struct(reason.alias("reason"), (~reason.isin(NO_RETRY)).alias("retryable"))
 
 
 def challenged(status: Column, headers: Column, html: Column) -> Column:
-    """Whether an answer is an anti-bot challenge."""
-    marks = ["cf-challenge", "just a moment", "checking your browser", "ddos-guard", "captcha", "__cf_chl", "attention required", "access denied"]
-    return status.isin(403, 429, 503) | (F.map_contains_key(headers, "cf-ray") & (status != 200)) | F.lower(F.substring(html, 1, 4000)).rlike("|".join(marks))
+    """Whether an answer is an anti-bot challenge; without html it is none."""
+    marked = F.lower(F.substring(html, 1, 4000)).rlike("|".join(CHALLENGE_MARKS))
+    return F.coalesce(html.isNotNull() & (status.isin(403, 429, 503) | (F.map_contains_key(headers, "cf-ray") & (status != 200)) | marked), F.lit(False))
+
+
+def page_problem(html: Column, headings: Column, visible: Column, challenge_form: Column) -> Column:
+    """challenge, error_page or empty for a page with status 200 that has no content, else null.
+
+    headings: texts of its titles and first headings. Without any, a text of at most 160 characters counts as one. Errors are looked for
+    at the beginning of headings alone, so that model numbers are none.
+    """
+    said = F.when(F.size(headings) > 0, headings).when(F.length(visible) <= 160, F.array(visible)).otherwise(F.array().cast("array<string>"))
+    told = F.transform(said, lambda h: F.when(h.rlike("(?iuU)" + CHALLENGE_HEADING), "challenge").when(h.rlike("(?iuU)" + ERROR_HEADING), "error_page"))
+    return F.when(F.coalesce(F.trim(html), F.lit("")) == "", "empty").when(challenge_form, "challenge").otherwise(F.try_element_at(F.array_compact(told), F.lit(1)))
+
+
+def soft_not_found(headings: Column, product: Column) -> Column:
+    """Whether a heading says that the page is gone, and the page holds no product data."""
+    return ~F.coalesce(product, F.lit(False)) & F.exists(headings, lambda h: h.rlike("(?iuU)" + GONE_HEADING))
+
+
+def content_score(texts: Column, product_class: Column, product_type: Column, product_json: Column) -> Column:
+    """Points of a page's content for being a product's: words of price and of buying (2 each), of attributes (1.5), classes of products (1), microdata and JSON-LD (2 each). It is one from 3 on."""
+    point = lambda c, w: F.when(F.coalesce(c, F.lit(False)), w).otherwise(0.0)
+    word = lambda p: F.exists(texts, lambda t: t.rlike("(?iu)" + p))
+    return point(word(PRICE_TEXT), 2.0) + point(word(BUY_TEXT), 2.0) + point(word(ATTRIBUTE_TEXT), 1.5) + point(product_class, 1.0) + point(product_type, 2.0) + point(product_json, 2.0)
+
+
+def subitems(field: Column, value: Column) -> Column:
+    """A value with blanks between numbers as ; where its field lists several items after a colon."""
+    tail = F.when(field.contains(":"), F.substr(field, F.locate(":", field) + 1))
+    listed = tail.contains(";") | (F.size(F.regexp_extract_all(tail, F.lit("[—–]"), F.lit(0))) >= 2)
+    return F.when(F.coalesce(listed, F.lit(False)), F.regexp_replace(value, r"(?<=\d)[ \t]+(?=\d)", "; ")).otherwise(value)
 
 
-def soft_error(title: Column, heading: Column, body: Column) -> Column:
-    """Whether a page with status 200 says that there is nothing: by title or heading, or by the text if it is short."""
-    words = r"(?iu)\b404\b|not found|не найден|страница отсутствует|page does not exist|ошибка 4\d\d"
-    return F.coalesce(title.rlike(words), F.lit(False)) | F.coalesce(heading.rlike(words), F.lit(False)) | F.coalesce((F.length(body) <= 160) & body.rlike(words), F.lit(False))
+def spec_lines(value: Column, field: Column) -> Column:
+    """The lines of a value as shown in a table: a blank before a unit, joined groups of letter and digits parted by ;, but not in sizes, models and powers."""
+    units = "|".join(sorted(UNITS, key=len, reverse=True))
+    spaced = F.regexp_replace(value, rf"(?iu)(?<!\^[0-9-]{{0,9}})(\d+(?:[.,]\d+)?)({units})(?![а-яА-Яa-zA-Z0-9])", "$1 $2")
+    parted = F.regexp_replace(spaced, r"(?<=[A-Za-zА-Яа-я]\d{1,9})(?=[A-Za-zА-Яа-я]\d)", "; ")
+    keep = F.coalesce(field, F.lit("")).rlike("(?iu)модел") | spaced.rlike("[хХxX×]")
+    lines = F.filter(F.transform(F.split(F.when(keep, spaced).otherwise(parted), r"\r\n|[\n\r]"), lambda x: F.trim(x)), lambda x: x != "")
+    return F.when(F.size(lines) > 0, lines).otherwise(F.array(F.lit("")))
 
 
 def region_prefix_free(s: Column) -> Column:

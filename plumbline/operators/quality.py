@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from plumbline.operators.metrics import alerts, ratio
 
 # Green and red limits of the eight measures; a measure is better high (+) or low (-).
-LIMITS = {"M1": ("+", 0.35, 0.15), "M2": ("+", 8, 3), "M3": ("+", 0.95, 0.7), "M4": ("-", 0.05, 0.3), "M5": ("+", 0.9, 0.5), "M6": ("-", 0.02, 0.1), "M7": ("+", 0.9, 0.5), "M8": ("-", 0.15, 0.4)}
+LIMITS = {"M1": ("+", 0.35, 0.15), "M2": ("+", 8, 2), "M3": ("+", 0.95, 0.7), "M4": ("-", 0.05, 0.3), "M5": ("+", 0.9, 0.5), "M6": ("-", 0.02, 0.1), "M7": ("+", 0.9, 0.5), "M8": ("-", 0.15, 0.4)}
 #: Error codes of failing checks.
 CODES = {"C3.1": "E1", "C2.1": "E5", "C2.2": "E5", "C1.1": "E5", "C4.1": "E3", "C5.3": "E3", "C3.3": "E7", "C3.12": "E7", "C5.6": "E8", "C2.9": "E8", "C2.7": "E6"}
 
@@ -27,7 +27,8 @@ def light(name: str, value: Column) -> Column:
     """ok, warn or red by the limits of a measure; null for null."""
     sign, good, bad = LIMITS[name]
     if sign == "+":
-        return F.when(value.isNull(), None).when(value >= good, "ok").when(value < bad, "red").otherwise("warn")
+        poor = value <= bad if name == "M2" else value < bad  # M2 counts lines: two are too few
+        return F.when(value.isNull(), None).when(value >= good, "ok").when(poor, "red").otherwise("warn")
     return F.when(value.isNull(), None).when(value <= good, "ok").when(value > bad, "red").otherwise("warn")
 
 

@@ -156,14 +156,17 @@ def zero_rate(t):
     return _run(t).groupBy("run_id").agg(metrics.ratio(F.count_if(F.col("products") == 0).cast("double"), F.count("*")).alias("zero_rate"))
 
 
-_MSG = "event_type || ' ' || CASE event_id % 4 WHEN 0 THEN 'http timeout' WHEN 1 THEN 'model said no' WHEN 2 THEN 'upload of graph' ELSE 'unknown' END"
 
 
-@query(f"""WITH m AS (SELECT {_MSG} AS m FROM events), c AS (SELECT CASE WHEN regexp_matches(m, 'crawl|fetch|http|timeout|browser') THEN 'crawler' WHEN regexp_matches(m, 'llm|ai |token|model') THEN 'llm' WHEN regexp_matches(m, 'upload|graph|chunk') THEN 'upload' WHEN regexp_matches(m, 'convert|pdf|docx|rtf') THEN 'convert' WHEN regexp_matches(m, 'disk|file|permission') THEN 'storage' ELSE 'other' END AS module, m FROM m)
-SELECT x.module, coalesce(n, 0) AS n, coalesce(s, []) AS samples FROM (VALUES ('crawler'), ('llm'), ('upload'), ('convert'), ('storage'), ('other')) x(module) LEFT JOIN (SELECT module, count(*) AS n, list_slice(list_sort(list(DISTINCT m)), 1, 3) AS s FROM c GROUP BY 1) USING (module)""")
+_SAID = "CASE event_id % 9 WHEN 0 THEN 'PDF: soffice failed' WHEN 1 THEN 'Graph timeout' WHEN 2 THEN 'download of file' WHEN 3 THEN 'docx card' WHEN 4 THEN 'LLM timeout' WHEN 5 THEN 'markdown of page' WHEN 6 THEN 'Timeout' WHEN 7 THEN 'таймаут сайта' ELSE 'unknown' END"
+_MODULE = "CASE event_id % 9 WHEN 0 THEN 'pdf' WHEN 1 THEN 'graph' WHEN 2 THEN 'files' WHEN 3 THEN 'cards' WHEN 4 THEN 'ai' WHEN 5 THEN 'text' WHEN 6 THEN 'crawler' WHEN 7 THEN 'crawler' ELSE 'other' END"
+
+
+@query(f"""SELECT x.module, coalesce(n, 0) AS n, coalesce(s, []) AS samples FROM (VALUES ('pdf'), ('graph'), ('files'), ('cards'), ('ai'), ('text'), ('crawler'), ('other')) x(module)
+LEFT JOIN (SELECT module, count(*) AS n, list_slice(list_sort(list(DISTINCT m)), 1, 3) AS s FROM (SELECT event_type || ' ' || {_SAID} AS m, {_MODULE} AS module FROM events) GROUP BY 1) USING (module)""")
 def errors_by_module(t):
-    m = F.concat("event_type", F.lit(" "), F.expr("case event_id % 4 when 0 then 'http timeout' when 1 then 'model said no' when 2 then 'upload of graph' else 'unknown' end"))
-    return metrics.errors_by_module(t("events").select(m.alias("m")), "m", ["crawler", "llm", "upload", "convert", "storage", "other"])
+    m = F.concat("event_type", F.lit(" "), F.expr(_SAID))
+    return metrics.errors_by_module(t("events").select(m.alias("m")), "m", ["pdf", "graph", "files", "cards", "ai", "text", "crawler", "other"])
 
 
 @query("""SELECT CASE WHEN grouping(user_id) = 0 THEN user_id END AS company, event_type AS module, count(value) FILTER (event_id % 10 <> 0) AS n, round_even(sum(value) FILTER (event_id % 10 <> 0), 4) AS total, round_even(quantile_cont(value, 0.5) FILTER (event_id % 10 <> 0), 4) AS median, round_even(sum(CASE WHEN event_id % 10 = 0 THEN value ELSE 0 END), 4) AS retry_total, grouping(user_id)::INT AS is_total FROM events GROUP BY GROUPING SETS ((user_id, event_type), (event_type))""")

@@ -31,10 +31,14 @@ def company_measures(t):
     return quality.company_measures(_records(t))
 
 
-@query(f"""SELECT company, CASE WHEN "M1" IS NULL THEN NULL WHEN "M1" >= 0.35 THEN 'ok' WHEN "M1" < 0.15 THEN 'red' ELSE 'warn' END AS l1, CASE WHEN "M4" <= 0.05 THEN 'ok' WHEN "M4" > 0.3 THEN 'red' ELSE 'warn' END AS l4 FROM ({_MEASURES})""")
+#: What is good and what is red, by hand from the definition of the measures.
+_LIGHTS = {"M1": (">= 0.35", "< 0.15"), "M2": (">= 8", "<= 2"), "M3": (">= 0.95", "< 0.7"), "M4": ("<= 0.05", "> 0.3"), "M5": (">= 0.9", "< 0.5"), "M6": ("<= 0.02", "> 0.1"), "M7": (">= 0.9", "< 0.5")}
+
+
+@query("SELECT company, " + ", ".join(f"""CASE WHEN "{m}" IS NULL THEN NULL WHEN "{m}" {good} THEN 'ok' WHEN "{m}" {bad} THEN 'red' ELSE 'warn' END AS l{m[1]}""" for m, (good, bad) in _LIGHTS.items()) + f" FROM ({_MEASURES})")
 def measure_lights(t):
     m = quality.company_measures(_records(t))
-    return m.select("company", quality.light("M1", F.col("M1")).alias("l1"), quality.light("M4", F.col("M4")).alias("l4"))
+    return m.select("company", *[quality.light(k, F.col(k)).alias(f"l{k[1]}") for k in _LIGHTS])
 
 
 @query(f"""WITH p AS (SELECT * FROM ({_PAGES}) WHERE container_share IS NOT NULL), s AS (SELECT 'all_pages' AS slice, * FROM p UNION ALL SELECT 'body_text_ge_1000', * FROM p WHERE body_text_len >= 1000)

@@ -180,14 +180,6 @@ def html_tables(t):
     return H.table_cells(t("pages"), "page_id", "html")
 
 
-@query()
-def soft_errors(t):
-    from plumbline.functions.text import soft_error
-
-    f = t("pages").select("page_id", H.page_features(F.col("html")).alias("f"))
-    return f.select("page_id", soft_error(F.col("f.title"), F.col("f.h1"), F.col("f.text")).alias("soft_error"))
-
-
 @query("SELECT md5(html) AS digest, count(DISTINCT url) AS urls FROM pages GROUP BY 1 HAVING count(DISTINCT url) >= 1")
 def repeated_bodies(t):
     return dedupe.repeated_bodies(t("pages").where("html is not null"), "html", "url", 1)

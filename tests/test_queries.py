@@ -5,7 +5,7 @@ import os
 
 import pytest
 
-from plumbline.plans import core, quality, urls  # noqa: F401 - they register their queries
+from plumbline.plans import core, fixtures, quality, urls  # noqa: F401 - they register their queries
 from plumbline.plans.registry import QUERIES, SQL
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
