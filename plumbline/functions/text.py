@@ -109,11 +109,27 @@ def region(address: Column) -> Column:
     return F.coalesce(*[F.nullif(F.regexp_extract(F.coalesce(address, F.lit("")), p, n), F.lit("")) for p, n in tries])
 
 
-def file_name(s: Column, most: int = 120) -> Column:
-    """A name for a file or folder: reserved characters as _, runs of blanks and _ as one, not empty."""
-    t = F.regexp_replace(F.regexp_replace(F.trim(s), r'[<>:"/\\|?*\x00-\x1f]', "_"), r"[\s_]+", "_")
-    t = F.regexp_replace(F.substring(t, 1, most), r"^[._ ]+|[._ ]+$", "")
-    return F.when(t == "", "unnamed").otherwise(t)
+def _bytes_cut(s: Column, most: int) -> Column:
+    """The longest beginning of at most so many bytes in UTF-8 that cuts no character."""
+    cut = F.substring(F.encode(s, "UTF-8"), 1, most)
+    whole = F.try_validate_utf8(cut.cast("string"))
+    tries = [F.try_validate_utf8(F.substring(F.encode(s, "UTF-8"), 1, most - k).cast("string")) for k in range(1, 4)]
+    return F.when(F.octet_length(s) <= most, s).otherwise(F.coalesce(whole, *tries))
+
+
+def file_name(s: Column, most: int = 255) -> Column:
+    """A name for a file: slashes as -, blanks, points and commas as _, signs that names may not hold dropped; runs of _ and - as one, at most so many bytes; unnamed if nothing is left."""
+    t = F.translate(s, "\\/ёЁ×", "--еЕх")
+    t = F.translate(F.regexp_replace(t, r"\^(?!\d)", ""), NAME_MARKS, "")
+    t = F.regexp_replace(F.regexp_replace(F.translate(t, " .,", "___"), "_{2,}", "_"), "-{2,}", "-")
+    t = F.regexp_replace(F.regexp_replace(t, "^_+|_+$", ""), "^-+|-+$", "")
+    return F.when(t == "", "unnamed").otherwise(_bytes_cut(t, most))
+
+
+def company_folder(s: Column) -> Column:
+    """A company's name as that of a folder."""
+    t = F.translate(F.translate(s, "ёЁ", "еЕ"), NAME_MARKS.replace("\n\r", "") + "/\\^", "")
+    return F.when(F.coalesce(s, F.lit("")) == "", "Неизвестная компания").otherwise(F.regexp_replace(F.regexp_replace(F.translate(t, " .,", "___"), "_{2,}", "_"), "^_+|_+$", ""))
 
 
 def plain_symbols(s: Column) -> Column:
@@ -175,6 +191,11 @@ def backoff(attempt: Column, after: Column) -> Column:
     return F.greatest(F.least(F.pow(F.lit(2.0), attempt + 1), F.lit(30.0)), F.coalesce(after, F.lit(0.0)))
 
 
+def model_delay(attempt: Column, base: float = 1.0, chance: Column | None = None) -> Column:
+    """Seconds before a model is asked again: base * 2^attempt and a chance part below one, 60 at most."""
+    return F.least(F.lit(base) * F.pow(F.lit(2.0), attempt) + (F.rand() if chance is None else chance), F.lit(60.0))
+
+
 def approximate_tokens(s: Column) -> Column:
     return F.greatest(F.lit(1), F.floor(F.length(s) / 4).cast("int"))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Word lists, patterns and limits that decide a URL's category.
@@ -97,6 +97,31 @@ class Url:
         return F.filter(F.split(self.query, "&"), lambda p: p != "")
 
 
+_KEPT = ["url", "scheme", "netloc", "path", "query", "fragment"]
+_DERIVED = ["host", "segments", "decoded", "names", "params"]
+
+
+class KeptUrl(Url):
+    """The parts of a URL that parsed() has put into a column."""
+
+    host = segments = decoded = names = params = None
+
+    def __init__(self, name: str):
+        for part in (*_KEPT, *_DERIVED):
+            setattr(self, part, F.col(f"`{name}`.{part}"))
+
+
+def parsed(df: DataFrame, url: str = "url", name: str = "__url") -> tuple[DataFrame, Url]:
+    """df with the parts of a URL column in one more column, taken once a row, and what stands for them in the functions of this module."""
+    u = Url(F.col(url))
+    df = df.withColumn(f"{name}_raw", F.struct(*[getattr(u, part).alias(part) for part in _KEPT]))
+    raw = Url.__new__(Url)
+    for part in _KEPT:
+        setattr(raw, part, F.col(f"`{name}_raw`.{part}"))
+    df = df.withColumn(name, F.struct(*[getattr(raw, part).alias(part) for part in (*_KEPT, *_DERIVED)])).drop(f"{name}_raw")
+    return df, KeptUrl(name)
+
+
 def strip_www(host: Column) -> Column:
     return F.regexp_replace(host, r"^www\.", "")
 
@@ -251,47 +276,82 @@ def product_score(u: Url, text: Column, flat_site: Column | None = None) -> Colu
     return F.when(F.coalesce(veto, F.lit(False)), 0.0).otherwise(total)
 
 
-def categorized(u: Url, text: Column, *, base_locale: str | None = None, language_filter: bool = True, word_filter: bool = True, flat_site: Column | None = None) -> Column:
-    """struct<category, priority>: the first rule that holds decides. The text is that of the link, '' if none.
-
-    Words of contacts, dealers and prices are looked for in the path as written; segments, excluded words, stems and the signs of a product in the
-    decoded path.
-    """
-    text = F.lower(F.coalesce(text, F.lit("")))
+def _role_tests(u: Url, text: Column, base_locale: str | None, language_filter: bool, word_filter: bool) -> dict[str, Column]:
+    """What the rules of roles ask more than once, or that is long."""
     where = F.concat(F.lower(u.path), F.when(u.query != "", F.concat(F.lit("?"), F.lower(u.query))).otherwise(""))
-    words = F.coalesce(excluded_by_words(u), F.lit(False)) if word_filter else F.lit(False)
-    signal = catalog_signal(u, text)
-    dealer = _any_in(where, DEALER_WORDS)
-    price = _any_in(where, PRICE_WORDS) & ~F.coalesce(strong_product_path(u), F.lit(False))
+    known = lambda c: F.coalesce(c, F.lit(False))
     last = F.coalesce(F.try_element_at(u.names, F.lit(-1)), F.lit(""))
-    category = where.rlike(r"(?<![\p{L}\d])(?:" + "|".join(CATEGORY_WORDS) + ")") | text.rlike(r"(?<![\p{L}\d])(?:" + "|".join(CATEGORY_WORDS) + ")")
-    category = category | F.exists(u.names, lambda s: s.rlike("^(?:" + "|".join(CATEGORY_STEMS) + ")") | (s == "cat")) | F.lower(u.query).rlike(LISTING_QUERY) | F.lower(u.url).rlike("/(?:catalog|category|collection|series|каталог|серия|katalog|products)/")
+    words = r"(?<![\p{L}\d])(?:" + "|".join(CATEGORY_WORDS) + ")"
+    category = where.rlike(words) | text.rlike(words) | F.exists(u.names, lambda s: s.rlike("^(?:" + "|".join(CATEGORY_STEMS) + ")") | (s == "cat")) | F.lower(u.query).rlike(LISTING_QUERY)
+    return {
+        "language": known(foreign_language(u, base_locale)) if language_filter else F.lit(False),
+        "file": known(downloadable(u)),
+        "image": known(image(u)),
+        "words": known(excluded_by_words(u)),
+        "signal": known(catalog_signal(u, text)),
+        "main": F.regexp_replace(u.path, "^/+|/+$", "").isin(MAIN_PAGES),
+        "contact": _any_in(where, CONTACT_WORDS),
+        "dealer": _any_in(where, DEALER_WORDS),
+        "price": _any_in(where, PRICE_WORDS) & ~known(strong_product_path(u)),
+        "price_last": _any_in(last, PRICE_WORDS),
+        "buy": F.array_contains(u.names, "buy"),
+        "said_contact": _any_in(text, CONTACT_WORDS),
+        "said_dealer": _any_in(text, DEALER_WORDS),
+        "said_price": _any_in(text, PRICE_WORDS),
+        "category": known(category | F.lower(u.url).rlike("/(?:catalog|category|collection|series|каталог|серия|katalog|products)/")),
+    }
+
+
+def _role(x: dict[str, Column], score: Column, word_filter: bool) -> Column:
+    words = x["words"] if word_filter else F.lit(False)
     less = F.when(words, 2).otherwise(0)
     out = lambda name, p=None: F.struct(F.lit(name).alias("category"), (F.lit(PRIORITY.get(name, 0)) if p is None else p).cast("int").alias("priority"))
     lowered = lambda name, by: F.greatest(F.lit(PRIORITY[name]) - by, F.lit(1))
     rules = [
-        (foreign_language(u, base_locale) if language_filter else F.lit(False), out("excluded")),
-        (downloadable(u), out("excluded")),
-        (image(u), out("excluded1")),
-        (words & (dealer | _any_in(text, DEALER_WORDS)), out("distributor")),
-        (words & ~signal, out("excluded2")),
-        (F.regexp_replace(u.path, "^/+|/+$", "").isin(MAIN_PAGES), out("main_page")),
-        (_any_in(where, CONTACT_WORDS), out("contacts")),
-        (dealer | F.array_contains(u.names, "buy"), out("distributor")),
-        (price & _any_in(last, PRICE_WORDS), out("price_list")),
-        (product_score(u, text, flat_site) >= 1.5, out("product", lowered("product", less))),
-        (_any_in(text, CONTACT_WORDS), out("contacts")),
-        (_any_in(text, DEALER_WORDS), out("distributor")),
-        (_any_in(text, PRICE_WORDS), out("price_list")),
-        (category, out("category", lowered("category", less))),
-        (price, out("price_list", lowered("price_list", F.lit(1)))),
+        (x["language"] | x["file"], out("excluded")),
+        (x["image"], out("excluded1")),
+        (words & (x["dealer"] | x["said_dealer"]), out("distributor")),
+        (words & ~x["signal"], out("excluded2")),
+        (x["main"], out("main_page")),
+        (x["contact"], out("contacts")),
+        (x["dealer"] | x["buy"], out("distributor")),
+        (x["price"] & x["price_last"], out("price_list")),
+        (score >= 1.5, out("product", lowered("product", less))),
+        (x["said_contact"], out("contacts")),
+        (x["said_dealer"], out("distributor")),
+        (x["said_price"], out("price_list")),
+        (x["category"], out("category", lowered("category", less))),
+        (x["price"], out("price_list", lowered("price_list", F.lit(1)))),
     ]
-    chain = F.when(F.coalesce(rules[0][0], F.lit(False)), rules[0][1])
+    chain = F.when(rules[0][0], rules[0][1])
     for when, then in rules[1:]:
-        chain = chain.when(F.coalesce(when, F.lit(False)), then)
+        chain = chain.when(when, then)
     return chain.otherwise(out("other"))
 
 
+def categorized(u: Url, text: Column, *, base_locale: str | None = None, language_filter: bool = True, word_filter: bool = True, flat_site: Column | None = None) -> Column:
+    """struct<category, priority>: the first rule that holds decides. The text is that of the link, '' if none.
+
+    Words of contacts, dealers and prices are looked for in the path as written; segments, excluded words, stems and the signs of a product in the
+    decoded path. One large expression; over a table, with_category() is faster.
+    """
+    text = F.lower(F.coalesce(text, F.lit("")))
+    x = _role_tests(u, text, base_locale, language_filter, word_filter)
+    return _role(x, product_score(u, text, flat_site), word_filter)
+
+
+def with_category(df: DataFrame, url: str = "url", text: str | None = None, *, base_locale: str | None = None, language_filter: bool = True, word_filter: bool = True, flat_site: Column | None = None) -> tuple[DataFrame, Url]:
+    """df with columns category and priority as categorized() tells them, and __url, the URL's parts; each test is made once a row."""
+    df, u = parsed(df, url)
+    said = F.lower(F.coalesce(F.col(text), F.lit(""))) if text else F.lit("")
+    tests = _role_tests(u, said, base_locale, language_filter, word_filter)
+    df = df.withColumn("__tests", F.struct(*[c.alias(k) for k, c in tests.items()], product_score(u, said, flat_site).alias("score")))
+    x = {k: F.col(f"__tests.{k}") for k in tests}
+    role = _role(x, F.col("__tests.score"), word_filter)
+    df = df.withColumn("__role", role).withColumns({"category": F.col("__role.category"), "priority": F.col("__role.priority")}).drop("__tests", "__role")
+    return df, u
+
+
 def rejection(u: Url, category: Column, depth_limit: int = 6, base_host: Column | None = None, base_locale: str | None = None) -> Column:
     """Why a URL may not enter the queue: the first reason that holds, null if none."""
     scope = (F.lit(True) if base_host is None else (desktop_host(u.host) == desktop_host(base_host)))

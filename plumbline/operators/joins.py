@@ -67,6 +67,12 @@ def last_delivered(requests: DataFrame, items: DataFrame) -> DataFrame:
     return requests.where("state = 'delivered'").join(items, "request_id").groupBy("company_id").agg(F.max_by("snapshot", "row_no").alias("snapshot"))
 
 
+def unsynced(requests: DataFrame, items: DataFrame) -> DataFrame:
+    """request_id, report_date, company_id, version of delivered requests that are not synced, with row_no, their order."""
+    open_ones = requests.where((F.col("state") == "delivered") & ~F.col("synced")).select("request_id", "report_date", "row_no")
+    return open_ones.join(items.select("request_id", "company_id", "version"), "request_id").select("request_id", "report_date", "company_id", "version", "row_no")
+
+
 def reservable(companies: DataFrame, busy: DataFrame, delivered: DataFrame) -> DataFrame:
     """Companies that are not busy and whose version differs from the one delivered last."""
     free = companies.join(busy.select("company_id").distinct(), "company_id", "left_anti")

@@ -151,3 +151,14 @@ def line_metrics(text: Column) -> dict[str, Column]:
         "n_lines": F.size(lines), "table_lines": count(is_row), "separators": count(lambda x: x.rlike(r"^\s*\|?\s*:?-{3,}:?\s*(?:\|\s*:?-{3,}:?\s*)*\|?\s*$")), "tables": starts, "headings": count(lambda x: x.rlike(r"^#{1,6} ")),
         "glued": F.size(F.regexp_extract_all(text, F.lit(r"\p{Ll}\p{Lu}|\p{Ll}\d{3,}"), F.lit(0))), "footnotes": F.size(F.regexp_extract_all(text, F.lit(r"\[\^?\d+\]|\*{1,2}\)"), F.lit(0))),
     }
+
+
+def graph_summary(objects: DataFrame, by: str = "company_id") -> DataFrame:
+    """by, objects, products, distributors, files, last_upload of a company's objects in the graph: sums of list sizes, and the last date of any of four fields, as text.
+
+    Suppliers count as distributors; a list that is null counts as empty, an empty date as none.
+    """
+    n = lambda c: F.coalesce(F.size(c), F.lit(0)).cast("long")
+    size = lambda c: F.when(F.col(c).isNull(), F.lit(0).cast("long")).otherwise(n(c))
+    dates = F.greatest(*[F.nullif(F.col(c), F.lit("")) for c in ("verification_date", "report_date", "valid_on_date", "date")])
+    return objects.groupBy(by).agg(F.count("*").alias("objects"), F.sum(size("products")).alias("products"), F.sum(size("suppliers") + size("distributors")).alias("distributors"), F.sum(size("files")).alias("files"), F.max(dates).alias("last_upload"))

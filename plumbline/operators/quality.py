@@ -52,13 +52,29 @@ def run_metrics(fetches: DataFrame) -> DataFrame:
 
 
 def run_alerts(m: DataFrame) -> DataFrame:
-    """domain, run, alert: one row for each threshold that a run breaks, given baseline_cards and baseline_pages (null: none)."""
-    worse = lambda now, base: (F.col(base) > 0) & (F.col(now) < F.col(base) * 0.6)
-    none = lambda c: F.coalesce(F.try_element_at("by_category", F.lit(c)), F.lit(0)) == 0
-    found = alerts([
-        (worse("product_cards", "baseline_cards"), "product_cards below baseline"), (worse("pages", "baseline_pages"), "pages below baseline"), (F.col("challenge_rate") > 0.2, "challenge_rate > 0.2"), (F.col("fetch_fail_rate") > 0.15, "fetch_fail_rate > 0.15"),
-        (F.col("empty_markdown_rate") > 0.3, "empty_markdown_rate > 0.3"), (none("contacts"), "no contacts pages"), (none("distributor"), "no distributor pages"),
-    ])
+    """domain, run, alert: one row for each threshold that a run breaks. Thresholds on columns that m lacks are passed over; baseline_ columns are null where a site has no baseline."""
+    c = F.col
+    worse = lambda now, base: (c(base) > 0) & (c(now) < c(base) * 0.6)
+    none = lambda k: F.coalesce(F.try_element_at("by_category", F.lit(k)), F.lit(0)) == 0
+    rules = [
+        (["product_cards", "baseline_cards"], lambda: worse("product_cards", "baseline_cards"), "product_cards below baseline"),
+        (["pages", "baseline_pages"], lambda: worse("pages", "baseline_pages"), "pages below baseline"),
+        (["sitemap_urls", "baseline_sitemap"], lambda: (c("baseline_sitemap") > 0) & (F.abs(c("sitemap_urls") - c("baseline_sitemap")) / c("baseline_sitemap") > 0.3), "sitemap differs from baseline"),
+        (["challenge_rate"], lambda: (c("challenge_rate") > 0.2) & (F.coalesce(c("baseline_challenge") if "baseline_challenge" in m.columns else F.lit(0), F.lit(0)) == 0), "challenge_rate > 0.2"),
+        (["fetch_fail_rate"], lambda: c("fetch_fail_rate") > 0.15, "fetch_fail_rate > 0.15"),
+        (["empty_markdown_rate"], lambda: c("empty_markdown_rate") > 0.3, "empty_markdown_rate > 0.3"),
+        (["gate3_pass_rate"], lambda: c("gate3_pass_rate") < 0.5, "gate3_pass_rate < 0.5"),
+        (["card_yield", "product_pages"], lambda: (c("product_pages") > 0) & (c("card_yield") < 0.35), "card_yield < 0.35"),
+        (["avg_specs"], lambda: c("avg_specs") < 5, "avg_specs_per_card < 5"),
+        (["structure_hash", "baseline_structure"], lambda: (c("baseline_structure") != "") & (c("structure_hash") != "") & (c("structure_hash") != c("baseline_structure")), "structure_hash changed"),
+        (["by_category"], lambda: none("contacts"), "no contacts pages"),
+        (["by_category"], lambda: none("distributor"), "no distributor pages"),
+        (["links_found", "links_outside"], lambda: (c("links_found") > 0) & (c("links_outside") / c("links_found") > 0.8), "perimeter dropped over 80 % of links"),
+        (["sitemap_filtered", "sitemap_queued"], lambda: (c("sitemap_filtered") > 0) & (F.coalesce(c("sitemap_queued"), F.lit(0)) == 0), "nothing queued from sitemap"),
+        (["sitemap_offered", "sitemap_dup_rate"], lambda: (c("sitemap_offered") > 0) & (c("sitemap_dup_rate") > 0.8), "sitemap_dup_skip_rate > 0.8"),
+        (["sitemap_offered", "sitemap_empty_rate"], lambda: (c("sitemap_offered") > 0) & (c("sitemap_empty_rate") > 0.8), "sitemap_no_content_rate > 0.8"),
+    ]
+    found = alerts([(rule(), name) for needs, rule, name in rules if set(needs) <= set(m.columns)])
     return m.select("domain", "run", F.explode(found).alias("alert"))
 
 
@@ -74,11 +90,32 @@ def antibot(challenge_rate: Column, pages: Column, warmed: Column) -> Column:
     return F.when((r > 0.5) & (F.coalesce(pages, F.lit(0)) == 0), "blocked").when(F.coalesce(warmed, F.lit(False)), "warmup").when(r > 0.05, "impersonate").otherwise("none")
 
 
-def census(m: DataFrame) -> DataFrame:
-    """domain, status, problems: what a site needs, by its last run."""
-    problems = alerts([(F.col("pages") == 0, "no pages"), (F.col("challenge_rate") > 0.2, "antibot"), (F.col("product_cards") == 0, "no cards"), (F.col("fetch_fail_rate") > 0.15, "fetch failures"), (F.col("empty_markdown_rate") > 0.3, "empty texts")])
-    status = F.when((F.col("pages") == 0) | (F.col("challenge_rate") > 0.5), "blocked").when(F.col("product_cards") == 0, "no_products").when(F.size(problems) > 0, "needs_work").otherwise("ok")
-    return m.select("domain", "run", status.alias("status"), F.array_join(F.array_distinct(problems), "; ").alias("problems"))
+def census(pages: Column, cards: Column, found: Column, fail_rate: Column, challenge_rate: Column, render: Column, antibot: Column, alerts: Column) -> Column:
+    """struct<status, group, can_deliver, problems, fixes> of a site by its last run: what became of it, who has to mend it, and how."""
+    n = lambda c: F.coalesce(c, F.lit(0))
+    pages, cards, found, fail_rate, challenge_rate = map(n, (pages, cards, found, fail_rate, challenge_rate))
+    guarded = F.coalesce(~antibot.isin("none", ""), F.lit(False))
+    noisy = (cards > 0) & (found > cards * 3)
+    say = F.format_string
+    rules = [
+        (guarded | (challenge_rate > 0.2), F.concat(F.lit("антибот-защита (challenge_rate="), challenge_rate.cast("string"), F.lit(")")), F.lit("профиль: antibot=impersonate/warmup (обход curl_cffi+прогрев)")),
+        (pages <= 3, F.concat(F.lit("краулер собрал "), pages.cast("string"), F.lit(" стр. (SPA/JS-рендер или блокировка)")), F.lit("профиль: render=browser (принудительный Playwright)")),
+        ((pages > 3) & F.coalesce(render == "browser", F.lit(False)) & (fail_rate > 0.3), F.concat(F.lit("высокая доля сбоев фетча ("), fail_rate.cast("string"), F.lit(")")), F.lit("профиль: render=browser + пер-хостовые задержки (load.page_delay_ms)")),
+        ((found > 0) & (cards == 0), F.concat(found.cast("string"), F.lit(" товарных стр. найдено, 0 карточек (LLM классифицирует как не-товар / нет ТХ)")), F.lit("REVIEW: проверить product_url_antipatterns и полноту markdown (возможно ТХ в AJAX-вкладках -> ajax_tabs)")),
+        (noisy, say("категоризация URL шумит: %s «товарных» стр. -> %s карточек", found.cast("string"), cards.cast("string")), F.lit("профиль: product_url_antipatterns по census_evidence.top_urls")),
+    ]
+    sections = F.filter(F.coalesce(alerts, F.array().cast("array<string>")), lambda a: a.contains("секция"))
+    advice = F.lit("профиль: заполнить contacts_urls/distributor_urls (страница есть, но не распознана) либо подтвердить отсутствие раздела")
+    problems = F.concat(F.array_compact(F.array(*[F.when(c, p) for c, p, _ in rules])), sections)
+    fixes = F.array_distinct(F.concat(F.array_compact(F.array(*[F.when(c, f) for c, _, f in rules])), F.transform(sections, lambda _: advice)))
+    status = F.when(pages == 0, "Сайт недоступен").when(cards == 0, "Обработан, карточки НЕ получены").otherwise("Обработан, карточки получены")
+    group = (
+        F.when(pages == 0, "Краулер/доступность").when((cards == 0) & (pages <= 3), "SPA/JS").when((cards == 0) & guarded, "Антибот").when(cards == 0, "Извлечение")
+        .when(noisy, "Категоризация URL").when(guarded, "Антибот").otherwise("—")
+    )
+    deliver = F.when(cards == 0, "Нет").when(F.size(problems) == 0, "Да").otherwise("Да, с оговорками")
+    shown = lambda a: F.when(F.size(a) == 0, "—").otherwise(F.array_join(a, "; "))
+    return F.struct(status.alias("status"), group.alias("group"), deliver.alias("can_deliver"), shown(problems).alias("problems"), shown(fixes).alias("fixes"))
 
 
 def released_filters(urls: DataFrame, site: str, category: str, least: int = 20, share: float = 0.8, most: int = 500) -> DataFrame:

@@ -101,6 +101,19 @@ def first_n(df: DataFrame, group: list[str], order: list[Column | str], n: int)
     return df.withColumn("rn", F.row_number().over(W.partitionBy(*group).orderBy(*order))).where(F.col("rn") <= n)
 
 
+# Parts of names of sitemaps that come first, and last.
+GOOD_SITEMAPS = ["product", "catalog", "katalog", "shop", "iblock", "tovar"]
+LATE_SITEMAPS = ["attachment", "media", "news", "blog", "author", "tag", "feed"]
+
+
+def sitemap_source_rank(url: str, own_host: Column) -> list[Column]:
+    """Sort keys of sitemaps: those of the own host first, those of products first, those of news and media last, then by address."""
+    from plumbline.functions.urls import Url
+
+    path = F.lower(Url(F.col(url)).path)
+    return [F.when(own_host, 0).otherwise(1), F.when(path.rlike("|".join(GOOD_SITEMAPS)), 0).otherwise(1), F.when(path.rlike("|".join(LATE_SITEMAPS)), 1).otherwise(0), F.col(url)]
+
+
 def sitemap_rank() -> list[Column]:
     """Sort keys of sitemap rows: priority, information pages and slugs without digits last, depth, url."""
     from plumbline.functions.urls import Url, url_depth

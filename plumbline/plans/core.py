@@ -32,10 +32,10 @@ def dealer_ids(t):
     return s.select("s_suppkey", ids.dealer_id(F.col("s_name"), F.col("n_nationkey").cast("string")).alias("dealer_id"))
 
 
-@query("SELECT lower(v) AS key, count(*) AS n, list_sort(list(v)) AS spellings FROM (SELECT DISTINCT p_type AS v FROM part UNION SELECT DISTINCT upper(p_type) FROM part) GROUP BY 1 HAVING count(*) > 1")
+@query("SELECT lower(v) AS key, count(*) AS n, list_sort(list(v)) AS spellings FROM (SELECT DISTINCT p_type AS v FROM part UNION SELECT DISTINCT lower(p_type) FROM part) GROUP BY 1 HAVING count(*) > 1")
 def name_casefold_dupes(t):
     p = t("part").select("p_type")
-    return dedupe.case_twins(p.unionAll(p.select(F.upper("p_type"))), "p_type")
+    return dedupe.case_twins(p.unionAll(p.select(F.lower("p_type"))), "p_type")
 
 
 _OLD = "SELECT c_custkey AS id, c_name AS name, c_acctbal AS bal, c_mktsegment AS seg FROM customer WHERE c_custkey % 11 <> 0"

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions import html as H
 from plumbline.functions import ids, jsonx, records, text
 from plumbline.functions import urls as U
+from plumbline.operators import quality
 from plumbline.plans.registry import QUERIES, SQL, table
 
 _SQL_TYPES = {"string": "VARCHAR", "int": "INT", "double": "DOUBLE", "boolean": "BOOLEAN"}
@@ -20,19 +21,19 @@ def _literal(value, kind: str) -> str:
     return f"{shown}::{_SQL_TYPES[kind]}"
 
 
-def by_hand(name: str, given: str, out: dict[str, tuple[Callable[..., Column], str]], rows: list[tuple[tuple, tuple]]) -> None:
-    """Registers a query. given: the schema of the cases' inputs; out: columns, by functions of the inputs, and their types; rows: inputs and what they give."""
+def by_hand(name: str, given: str, out: dict[str, tuple[Callable[..., Column], str]], rows: list[tuple[tuple, tuple]], before: Callable[[DataFrame], DataFrame] = lambda df: df) -> None:
+    """Registers a query. given: the schema of the cases' inputs; out: columns, by functions of the inputs, and their types; rows: inputs and what they give; before: what is done to the table first."""
 
     def run(spark, sf_dir):
         known = spark.createDataFrame([(k, *given_row) for k, (given_row, _) in enumerate(rows)], f"k long, {given}")
         names = [c for c in known.columns if c != "k"]
         told = table(spark, sf_dir, "events").select("event_id", (F.col("event_id") % len(rows)).alias("k")).join(F.broadcast(known), "k")
-        return told.select("event_id", *[f(*[F.col(c) for c in names]).cast(kind).alias(c) for c, (f, kind) in out.items()])
+        return before(told).select("event_id", *[f(*[F.col(c) for c in names]).cast(kind).alias(c) for c, (f, kind) in out.items()])
 
     kinds = [kind for _, kind in out.values()]
     values = ", ".join(f"({k}, " + ", ".join(_literal(v, t) for v, t in zip(want, kinds, strict=True)) + ")" for k, (_, want) in enumerate(rows))
     QUERIES[name] = run
-    SQL[name] = f"SELECT event_id, {', '.join(f'v.{c}' for c in out)} FROM events JOIN (VALUES {values}) v(k, {', '.join(out)}) ON event_id % {len(rows)} = k"
+    SQL[name] = f"SELECT event_id, {', '.join(f'v."{c}"' for c in out)} FROM events JOIN (VALUES {values}) v(k, {', '.join(f'"{c}"' for c in out)}) ON event_id % {len(rows)} = k"
 
 
 def one(name: str, f: Callable[[Column], Column], cases: dict, kind: str = "string", given: str = "string") -> None:
@@ -83,42 +84,41 @@ _PAGES = [
 ]
 
 
-def _problem(html: Column, signs: Column) -> Column:
-    return text.page_problem(html, signs["headings"], signs["visible"], signs["challenge_form"])
-
-
-def _gone(html: Column) -> Column:
-    return text.soft_not_found(H.page_signs(html)["headings"], H.product_data(html)["source"].isNotNull())
+def _told(pages: DataFrame) -> DataFrame:
+    """Pages with what they hold, parsed once for each question."""
+    pages = pages.withColumn("s", H.page_signs(F.col("html"))).withColumn("product", H.product_data(F.col("html"))["source"].isNotNull())
+    pages = pages.withColumn("problem", text.page_problem(F.col("html"), F.col("s.headings"), F.col("s.visible"), F.col("s.challenge_form")))
+    return pages.withColumn("gone", text.soft_not_found(F.col("s.headings"), F.col("product")))
 
 
 by_hand("page_problems", "html string", {
-    "problem": (lambda h: _problem(h, H.page_signs(h)), "string"), "gone": (_gone, "boolean"),
-    "outcome": (lambda h: text.fetch_outcome(F.lit(200), F.lit(None).cast("string"), _problem(h, H.page_signs(h)), _gone(h))["reason"], "string"),
-}, _PAGES)
+    "problem": (lambda h: F.col("problem"), "string"), "gone": (lambda h: F.col("gone"), "boolean"),
+    "outcome": (lambda h: text.fetch_outcome(F.lit(200), F.lit(None).cast("string"), F.col("problem"), F.col("gone"))["reason"], "string"),
+}, _PAGES, _told)
 by_hand("challenges", "status int, header string, html string", {"challenge": (lambda s, h, x: text.challenged(s, F.when(h.isNull(), F.create_map().cast("map<string,string>")).otherwise(F.create_map(h, F.lit("1"))), x), "boolean")}, [
     ((200, None, "<p>captcha here</p>"), (False,)), ((200, None, "Checking Your Browser"), (True,)), ((200, None, "Проверяем браузер"), (True,)), ((403, None, ""), (True,)), ((403, None, None), (False,)), ((500, "cf-ray", "x"), (True,)), ((200, "cf-ray", "x"), (False,)),
     ((200, None, "a" * 4000 + "just a moment"), (False,)),
 ])
 
 
-def _content(html: Column) -> Column:
-    s = H.page_signs(html)
-    return text.content_score(s["strings"], s["product_class"], s["product_type"], s["product_json"])
+def _scored(pages: DataFrame) -> DataFrame:
+    pages = pages.withColumn("s", H.page_signs(F.col("html")))
+    return pages.withColumn("score", text.content_score(F.col("s.strings"), F.col("s.product_class"), F.col("s.product_type"), F.col("s.product_json")))
 
 
-by_hand("product_content", "html string", {"score": (_content, "double"), "product": (lambda h: _content(h) >= 3, "boolean")}, [
+by_hand("product_content", "html string", {"score": (lambda h: F.col("score"), "double"), "product": (lambda h: F.col("score") >= 3, "boolean")}, [
     # Any string has a price word, since one of them is the end of a text.
     (("<p>hello</p>",), (2.0, False)), (("<p>Купить</p>",), (4.0, True)), (("<p class='goods'>x</p>",), (3.0, True)), (("<p>Артикул 5</p>",), (3.5, True)), (("<div itemtype='http://schema.org/Product'>x</div>",), (5.0, True)),
     (("<script type='application/ld+json'>{\"@type\": \"Product\"}</script>",), (4.0, True)), (("<div></div>",), (0.0, False)),
-])
+], _scored)
 
 # URLs.
 _CATALOG = "https://a.ru/%D0%BA%D0%B0%D1%82%D0%B0%D0%BB%D0%BE%D0%B3/"
-by_hand("url_roles", "url string, said string", {"category": (lambda u, t: U.categorized(U.Url(u), t)["category"], "string")}, [
+by_hand("url_roles", "url string, said string", {"category": (lambda u, t: F.col("category"), "string")}, [
     ((_CATALOG, ""), ("product",)), (("https://a.ru/каталог/", ""), ("product",)), (("https://a.ru/", ""), ("main_page",)), (("https://a.ru/contacts", ""), ("contacts",)), (("https://a.ru/%D0%BA%D0%BE%D0%BD%D1%82%D0%B0%D0%BA%D1%82%D1%8B", ""), ("other",)),
     (("https://a.ru/en/x", ""), ("excluded",)), (("https://a.ru/pic.jpg", ""), ("excluded1",)), (("https://a.ru/blog/x", ""), ("excluded2",)), (("https://a.ru/about/dealer", ""), ("distributor",)), (("https://a.ru/buy/x", ""), ("distributor",)),
     (("https://a.ru/price.htm", ""), ("price_list",)), (("https://a.ru/%D0%BF%D1%80%D0%BE%D0%B4%D1%83%D0%BA%D1%86%D0%B8%D1%8F/x/", ""), ("product",)), (("https://a.ru/x", "Прайс"), ("price_list",)),
-])
+], lambda df: U.with_category(df, "url", "said")[0])
 one("urls_site", U.site_url, {"a.ru": "https://a.ru", "http://b.ru/x": "http://b.ru/x", "no dots": None, "word": None})
 one("hrefs_clean", U.clean_href, {" /x ": "/x", "http://a.ru/http://b.ru/y": "http://b.ru/y", "/a": "/a"})
 by_hand("urls_absolute", "base string, href string", {"result": (H.absolute_url, "string")}, [(("http://a.ru/b/c", "d"), ("http://a.ru/b/d",)), (("http://a.ru/b", "/x"), ("http://a.ru/x",)), (("http://a.ru/b", "https://c.ru/"), ("https://c.ru/",))])
@@ -142,3 +142,16 @@ one("numeric_features", jsonx.numeric_characteristics, {
     '{"Размер": "390×90x188 мм"}': 3, '{"Масса": "12×3"}': 1, '{"Плотность (ГОСТ 1)": "5"}': 1, '{"Цена": "5"}': 0, '{"Ширина": "RAL 9003"}': 0, '{"Вес": "5 руб"}': 0, '{"Длина": ["1", "2×3"]}': 2, '{"Упаковка": {"Высота": "5"}}': 0, '{"Материал": "Ст3"}': 0,
     '{"Слои": [{"a": "1"}, {"b": "2"}]}': 2, '{"Нити в основе": "Е12×3"}': 0, '{"a": {"b": {"c": 1.5, "d": null}}, "e": []}': 1, '{"ТУ 12": 3, "Туман": 4}': 1, "bad": 0,
 }, "int")
+
+one("file_names", text.file_name, {"a/b\\c": "a-b-c", "Ёлка 10×20, м.": "Елка_10х20_м", "5^2 ^x": "5^2_x", "__--": "unnamed", "«Цех»: \"1\"": "Цех_1", "я" * 200: "я" * 127, "a" * 254 + "я": "a" * 254})
+one("company_folders", text.company_folder, {"ООО «Ёж» / Ко.": "ООО_Еж_Ко", "": "Неизвестная компания", None: "Неизвестная компания"})
+one("model_delays", lambda c: text.model_delay(c, 2.0, F.lit(0.5)), {0: 2.5, 3: 16.5, 5: 60.0}, "double", "int")
+_CENSUS = "pages int, cards int, found int, fail double, challenge double, render string, antibot string, alert string"
+by_hand("census_verdicts", _CENSUS, {k: (lambda p, c, f, x, h, r, a, al, k=k: quality.census(p, c, f, x, h, r, a, F.array_compact(F.array(al)))[k], "string") for k in ("status", "group", "can_deliver", "problems")}, [
+    ((0, 0, 0, 0.0, 0.0, None, None, None), ("Сайт недоступен", "Краулер/доступность", "Нет", "краулер собрал 0 стр. (SPA/JS-рендер или блокировка)")),
+    ((2, 0, 0, 0.0, 0.0, None, "none", None), ("Обработан, карточки НЕ получены", "SPA/JS", "Нет", "краулер собрал 2 стр. (SPA/JS-рендер или блокировка)")),
+    ((50, 0, 7, 0.0, 0.25, None, "warmup", None), ("Обработан, карточки НЕ получены", "Антибот", "Нет", "антибот-защита (challenge_rate=0.25); 7 товарных стр. найдено, 0 карточек (LLM классифицирует как не-товар / нет ТХ)")),
+    ((50, 0, 0, 0.4, 0.0, "browser", None, None), ("Обработан, карточки НЕ получены", "Извлечение", "Нет", "высокая доля сбоев фетча (0.4)")),
+    ((50, 10, 40, 0.0, 0.0, None, None, "секция contacts: 0 страниц"), ("Обработан, карточки получены", "Категоризация URL", "Да, с оговорками", "категоризация URL шумит: 40 «товарных» стр. -> 10 карточек; секция contacts: 0 страниц")),
+    ((50, 10, 20, 0.0, 0.0, None, None, "other"), ("Обработан, карточки получены", "—", "Да", "—")), ((None, None, None, None, None, None, None, None), ("Сайт недоступен", "Краулер/доступность", "Нет", "краулер собрал 0 стр. (SPA/JS-рендер или блокировка)")),
+])

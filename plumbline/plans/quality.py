@@ -70,12 +70,6 @@ def run_alerts(t):
     return quality.run_alerts(m)
 
 
-@query(f"""SELECT domain, run, CASE WHEN c > 0.5 THEN 'blocked' WHEN cards = 0 THEN 'no_products' WHEN c > 0.2 OR f > 0.15 OR e > 0.3 THEN 'needs_work' ELSE 'ok' END AS status, array_to_string(list_filter([CASE WHEN c > 0.2 THEN 'antibot' END, CASE WHEN cards = 0 THEN 'no cards' END, CASE WHEN f > 0.15 THEN 'fetch failures' END, CASE WHEN e > 0.3 THEN 'empty texts' END], lambda x: x IS NOT NULL), '; ') AS problems
- FROM (SELECT domain, run, {_r('count(*) FILTER (NOT ok)', 'count(*)')} AS f, {_r('count(*) FILTER (challenge)', 'count(*)')} AS c, {_r('count(*) FILTER (md_len = 0)', 'count(*)')} AS e, count(*) FILTER (is_card) AS cards FROM ({_FETCH}) GROUP BY 1, 2)""")
-def census_status(t):
-    return quality.census(quality.run_metrics(_fetches(t)))
-
-
 _URLS = "SELECT user_id % 30 AS site, event_id AS ord, CASE WHEN user_id % 30 < 5 AND event_id % 10 <> 0 THEN 'excluded2' WHEN user_id % 30 = 7 AND event_id % 10 <> 1 THEN 'excluded' ELSE 'product' END AS category FROM events"
 
 
@@ -228,3 +222,34 @@ def purge_plan(t):
 
     e = t("events").select(F.col("user_id").alias("company_id"), F.col("event_type").alias("source"), F.col("event_id").alias("size"), F.lit("/data/x").alias("path"))
     return sites.purge_plan(e, e.sparkSession.createDataFrame([(3,)], "company_id long"), "/data")
+
+
+@query("""SELECT o_orderkey AS request_id, o_orderdate AS report_date, l_suppkey AS company_id, l_partkey AS version, o_orderkey AS row_no FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE o_orderstatus = 'F' AND o_orderkey % 3 <> 0""")
+def unsynced_requests(t):
+    from plumbline.operators import joins
+
+    r = t("orders").select(F.col("o_orderkey").alias("request_id"), F.col("o_orderdate").alias("report_date"), F.expr("case when o_orderstatus = 'F' then 'delivered' else 'sending' end").alias("state"), (F.col("o_orderkey") % 3 == 0).alias("synced"), F.col("o_orderkey").alias("row_no"))
+    return joins.unsynced(r, t("lineitem").select(F.col("l_orderkey").alias("request_id"), F.col("l_suppkey").alias("company_id"), F.col("l_partkey").alias("version")))
+
+
+@query("""SELECT o_custkey AS company_id, count(*) AS objects, sum(o_orderkey % 4)::BIGINT AS products, sum(CASE WHEN o_orderkey % 5 = 0 THEN 0 ELSE 2 END + o_orderkey % 3)::BIGINT AS distributors, 0::BIGINT AS files, greatest('2000-01-01', strftime(max(o_orderdate), '%Y-%m-%d')) AS last_upload FROM orders GROUP BY 1""")
+def graph_summaries(t):
+    items = lambda n: F.expr(f"case when {n} = 0 then array() else transform(sequence(1, cast({n} as int)), x -> 'i') end").cast("array<string>")
+    o = t("orders").select(
+        F.col("o_custkey").alias("company_id"), items("o_orderkey % 4").alias("products"), F.expr("case when o_orderkey % 5 <> 0 then array('a', 'b') end").alias("suppliers"), items("o_orderkey % 3").alias("distributors"), F.lit(None).cast("array<string>").alias("files"),
+        F.lit("").alias("verification_date"), F.lit(None).cast("string").alias("report_date"), F.lit("2000-01-01").alias("valid_on_date"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"),
+    )
+    return metrics.graph_summary(o)
+
+
+@query("""WITH m AS (SELECT c_custkey AS domain, c_custkey % 50 AS k FROM customer) SELECT domain, 1 AS run, unnest(list_filter([CASE WHEN k < 10 THEN 'product_cards below baseline' END, CASE WHEN k < 35 OR k > 65 THEN 'sitemap differs from baseline' END, CASE WHEN k < 25 THEN 'gate3_pass_rate < 0.5' END,
+ CASE WHEN k % 4 <> 0 AND k * 2 < 35 THEN 'card_yield < 0.35' END, CASE WHEN k % 9 < 5 THEN 'avg_specs_per_card < 5' END, CASE WHEN k % 2 = 1 THEN 'structure_hash changed' END, CASE WHEN k > 40 THEN 'perimeter dropped over 80 % of links' END, CASE WHEN k % 6 > 0 AND k % 5 = 0 THEN 'nothing queued from sitemap' END,
+ CASE WHEN k % 3 > 0 AND k > 40 THEN 'sitemap_dup_skip_rate > 0.8' END, CASE WHEN k % 3 > 0 AND k > 45 THEN 'sitemap_no_content_rate > 0.8' END], lambda x: x IS NOT NULL)) AS alert FROM m""")
+def profile_alerts(t):
+    k = "c_custkey % 50"
+    m = t("customer").selectExpr(
+        "c_custkey as domain", "1 as run", f"{k} * 3 as product_cards", "50 as baseline_cards", f"{k} as sitemap_urls", "50 as baseline_sitemap", f"({k}) / 50D as gate3_pass_rate", f"({k}) * 2 / 100D as card_yield", f"{k} % 4 as product_pages", f"{k} % 9 as avg_specs",
+        f"case when {k} % 2 = 1 then 'b' else 'a' end as structure_hash", "'a' as baseline_structure", "50 as links_found", f"{k} as links_outside", f"{k} % 6 as sitemap_filtered", f"nullif({k} % 5, 0) as sitemap_queued", f"{k} % 3 as sitemap_offered", f"({k}) / 50D as sitemap_dup_rate",
+        f"case when {k} > 45 then 0.9D else 0.1D end as sitemap_empty_rate",
+    )
+    return quality.run_alerts(m)

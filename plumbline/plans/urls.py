@@ -95,18 +95,19 @@ def url_files_images(t):
 
 @query()
 def url_categories(t):
-    return t("pages").select("page_id", U.categorized(u(), F.lit("")).alias("c")).select("page_id", "c.category", "c.priority")
+    return U.with_category(t("pages").select("page_id", "url"))[0].select("page_id", "category", "priority")
 
 
 @query()
 def url_product_score(t):
-    return t("pages").select("page_id", U.product_score(u(), F.lit("")).alias("score"), U.product_card(u()).alias("card"), U.strong_product_path(u()).alias("strong"), U.flat_candidate(u()).alias("flat"), U.print_version(u()).alias("print"))
+    p, x = U.parsed(t("pages").select("page_id", "url"))
+    return p.select("page_id", U.product_score(x, F.lit("")).alias("score"), U.product_card(x).alias("card"), U.strong_product_path(x).alias("strong"), U.flat_candidate(x).alias("flat"), U.print_version(x).alias("print"))
 
 
 @query()
 def queue_rejections(t):
-    c = U.categorized(u(), F.lit(""), language_filter=False)
-    return metrics.histogram(t("pages").select("url", c.alias("c")), F.coalesce(U.rejection(u(), F.col("c.category")), F.lit("admitted")), "reason")
+    p, x = U.with_category(t("pages").select("url"), language_filter=False)
+    return metrics.histogram(p, F.coalesce(U.rejection(x, F.col("category")), F.lit("admitted")), "reason")
 
 
 @query(f"""WITH p AS (SELECT {_H} AS host, {_S} AS s FROM pages)
@@ -175,9 +176,27 @@ def html_product_data(t):
     return t("pages").select("page_id", H.product_data(F.col("html")).alias("p")).select("page_id", "p.*")
 
 
-@query()
+#: A table with a head of two rows, a row over all columns, and the page's id.
+_TABLE = "<table><tr><th rowspan=2>k</th><th colspan=2>v</th></tr><tr><th>1</th><th>2</th></tr><tr><td colspan=3>all</td></tr><tr><td>a</td><td>%s</td><td>c</td></tr></table>"
+_CELLS = "(0, 0, 'k', true), (0, 1, 'v', true), (0, 2, 'v', true), (1, 0, 'k', true), (1, 1, '1', true), (1, 2, '2', true), (2, 0, 'all', false), (2, 1, '', false), (2, 2, '', false), (3, 0, 'a', false), (3, 1, NULL, false), (3, 2, 'c', false)"
+
+
+@query(f"SELECT page_id, r AS row_no, c AS col_no, coalesce(v, 'p' || page_id) AS text, h AS header FROM pages, (VALUES {_CELLS}) x(r, c, v, h)")
 def html_tables(t):
-    return H.table_cells(t("pages"), "page_id", "html")
+    pages = t("pages").select("page_id", F.concat(F.lit(_TABLE.split("%s")[0]), F.lit("p"), "page_id", F.lit(_TABLE.split("%s")[1])).alias("html"))
+    cells = H.table_cells(pages, "page_id", "html")
+    return cells.select("page_id", F.col("row").alias("row_no"), F.col("col").alias("col_no"), "text", "header")
+
+
+@query("""WITH p AS (SELECT page_id, url, lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1)) AS path, """ + f"""{_H} AS host FROM pages)
+SELECT page_id, row_number() OVER (PARTITION BY page_id % 10 ORDER BY CASE WHEN regexp_matches(host, '(^|\.)example\.net$') THEN 0 ELSE 1 END, CASE WHEN regexp_matches(path, 'product|catalog|katalog|shop|iblock|tovar') THEN 0 ELSE 1 END,
+ CASE WHEN regexp_matches(path, 'attachment|media|news|blog|author|tag|feed') THEN 1 ELSE 0 END, url, page_id)::INT AS rank FROM p""")
+def sitemap_sources(t):
+    from pyspark.sql import Window
+
+    own = u().host.rlike(r"(^|\.)example\.net$")
+    order = [*ranking.sitemap_source_rank("url", own), F.col("page_id")]
+    return t("pages").withColumn("rank", F.row_number().over(Window.partitionBy(F.col("page_id") % 10).orderBy(*order))).select("page_id", "rank")
 
 
 @query("SELECT md5(html) AS digest, count(DISTINCT url) AS urls FROM pages GROUP BY 1 HAVING count(DISTINCT url) >= 1")

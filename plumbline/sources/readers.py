@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.functions.arrow import vectorized
-from plumbline.functions.text import file_name
+from plumbline.functions.text import company_folder
 from plumbline.functions.urls import Url, site_url
 
 # Names under which a site list may give its columns; the record of a run.
@@ -44,7 +44,7 @@ def companies(sites: DataFrame, order: str | None = None) -> DataFrame:
 
         kept = kept.withColumn("__n", F.row_number().over(W.orderBy(order)) - 1)
         kept = kept.withColumn("company_id", F.coalesce(F.nullif(F.trim("company_id"), F.lit("")), F.concat(F.lit("company_"), "__n")))
-    return kept.select("company_id", "name", file_name(F.col("name")).alias("safe_name"), "website")
+    return kept.select("company_id", "name", company_folder(F.col("name")).alias("safe_name"), "website")
 
 
 def workbook(path: str, aliases: dict[str, list[str]] | None = None) -> pd.DataFrame:

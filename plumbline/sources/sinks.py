@@ -36,12 +36,17 @@ def merged(table: DataFrame, changes: DataFrame, key: list[str]) -> DataFrame:
     return table.join(changes.select(*key).distinct(), key, "left_anti").unionByName(changes)
 
 
-def transition(items: DataFrame, moves: DataFrame) -> DataFrame:
-    """Items (item_id, state) after moves (item_id, to): only reserved to sending, sending to delivered or failed, failed to reserved are made."""
+def transition(items: DataFrame, moves: DataFrame, order: str | None = None) -> DataFrame:
+    """Items (item_id, state) after moves (item_id, to), in the order of a column: only reserved to sending, sending to delivered or failed, failed to reserved are made, others are passed over.
+
+    Without order, an item may have one move.
+    """
     allowed = F.create_map(F.lit("reserved"), F.array(F.lit("sending")), F.lit("sending"), F.array(F.lit("delivered"), F.lit("failed")), F.lit("failed"), F.array(F.lit("reserved")))
-    j = items.join(moves.groupBy("item_id").agg(F.max("to").alias("to")), "item_id", "left")
-    ok = F.coalesce(F.array_contains(F.try_element_at(allowed, F.col("state")), F.col("to")), F.lit(False))
-    return j.withColumn("state", F.when(ok, F.col("to")).otherwise(F.col("state"))).drop("to")
+    # A group here is one item's moves.
+    queue = moves.groupBy("item_id").agg(F.transform(F.sort_array(F.collect_list(F.struct((F.col(order) if order else F.lit(0)).alias("at"), "to"))), lambda m: m["to"]).alias("moves"))
+    step = lambda state, to: F.when(F.coalesce(F.array_contains(F.try_element_at(allowed, state), to), F.lit(False)), to).otherwise(state)
+    j = items.join(queue, "item_id", "left")
+    return j.withColumn("state", F.when(F.col("moves").isNull(), F.col("state")).otherwise(F.aggregate("moves", F.col("state"), step))).drop("moves")
 
 
 def kept_checkpoints(saves: DataFrame, key: str, ts: str, most: int = 10) -> DataFrame:

@@ -96,7 +96,7 @@ def test_contacts(spark):
 
 
 def test_texts(spark):
-    assert column(spark, ["a:b / c?", "..", "x" * 200], text.file_name) == ["a_b_c", "unnamed", "x" * 120]
+    assert column(spark, ["a:b / c?", "..", "x" * 300], text.file_name) == ["ab_-_c", "unnamed", "x" * 255]
     assert column(spark, ["10 x 20 * 30 m^2 ____________"], text.card_text) == ["10×20×30 m^2 ___"]
     assert column(spark, ["m^{2}, 10^3"], text.superscripts) == ["m², 10³"]
     assert column(spark, ["a, b (c, d), 1,5"], text.separated) == ["a; b (c, d); 1,5"]

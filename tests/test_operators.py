@@ -138,7 +138,7 @@ def test_workbooks_rtf_docx(spark, tmp_path):
 
 def test_site_lists(spark):
     df = readers.by_alias(spark.createDataFrame([(1, "A", "a.ru"), (None, "B", "no"), (None, "C/D", "http://c.ru")], "manufacturer_id int, title string, URL string"), readers.ALIASES)
-    assert rows(readers.companies(df.withColumn("o", F.col("name")), "o")) == [("1", "A", "A", "https://a.ru"), ("company_1", "C/D", "C_D", "http://c.ru")]
+    assert rows(readers.companies(df.withColumn("o", F.col("name")), "o")) == [("1", "A", "A", "https://a.ru"), ("company_1", "C/D", "CD", "http://c.ru")]
     up = spark.createDataFrame([(1, "x", "n", "http://a"), (2, "x", "", "a.ru")], "row int, company_id string, name string, website string")
     assert rows(readers.upload_errors(up)) == sorted([(2, "name is empty"), (1, "company_id repeats: x"), (2, "company_id repeats: x"), (2, "website has no http")], key=str)
 
