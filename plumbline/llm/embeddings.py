@@ -96,10 +96,18 @@ def moments(vectors: DataFrame) -> dict[int, tuple[int, np.ndarray, np.ndarray]]
     return out
 
 
-def link_vectors(vectors: DataFrame, *, threshold: float = 0.95, block: int = 4096) -> tuple[DataFrame, DataFrame]:
-    """For classes (node long, n long, dim int, embedding): (node, links) and (a, b), links that span the components. threshold must be positive."""
+def block_rows(n: int, dim: int, tasks: int, most_numbers: int = 1 << 22, least: int = 1024) -> int:
+    """Vectors a block: as few blocks as give each of `tasks` tasks a tile, as each vector is sent once for each block that its own may meet; a block holds at most most_numbers components (32 MB as doubles)."""
+    blocks = int(np.ceil((np.sqrt(8 * tasks + 1) - 1) / 2))
+    return max(1, min(max(least, -(-n // blocks)), max(1, most_numbers // max(1, dim))))
+
+
+def link_vectors(vectors: DataFrame, *, threshold: float = 0.95, block: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """For classes (node long, n long, dim int, embedding): (node, links) and (a, b), links that span the components. threshold must be positive. block: vectors a block; as block_rows says if None."""
     spark = vectors.sparkSession
     mom = moments(vectors)
+    kind = vectors.schema["embedding"].dataType.simpleString()  # floats stay floats on their way, and are doubles in the tiles
+    rows_of = {d: block or block_rows(n, d, spark.sparkContext.defaultParallelism) for d, (n, _, _) in mom.items()}
     turns, axes = {}, {}
     for d, (n, s, m) in mom.items():
         w, v = np.linalg.eigh(m / max(n, 1))
@@ -114,10 +122,10 @@ def link_vectors(vectors: DataFrame, *, threshold: float = 0.95, block: int = 40
                 c[sizes == d] = unit(matrix(b.column("embedding").filter(pa.array(sizes == d)))) @ axes[d]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(c)], names=[*b.schema.names, "c"])
 
-    placed = materialize(vectors.select("node", "n", "dim", "embedding").mapInArrow(place, "node long, n long, dim int, embedding array<double>, c double"), "placed")
+    placed = materialize(vectors.select("node", "n", "dim", "embedding").mapInArrow(place, f"node long, n long, dim int, embedding {kind}, c double"), "placed")
     bounds = {}
     for d, (n, _, _) in mom.items():
-        k = -(-n // block)
+        k = -(-n // rows_of[d])
         own = placed.where(F.col("dim") == d)
         bounds[d] = np.unique(own.stat.approxQuantile("c", [q / k for q in range(1, k)], 0.25 / k)) if k > 1 else np.empty(0)
 
@@ -128,10 +136,11 @@ def link_vectors(vectors: DataFrame, *, threshold: float = 0.95, block: int = 40
                 at[sizes == d] = np.searchsorted(bounds[d], c[sizes == d], side="right")
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(at)], names=[*b.schema.names, "slab"])
 
-    dealt = placed.mapInArrow(deal, "node long, n long, dim int, embedding array<double>, c double, slab long")
+    dealt = placed.mapInArrow(deal, f"node long, n long, dim int, embedding {kind}, c double, slab long")
     slabs = dealt.groupBy("dim", "slab").agg(F.count("*").alias("k"))
     # A slab where many vectors share a coordinate is split by hash; the pieces are blocks of their own.
-    split = F.greatest(F.ceil(F.col("k") / (2 * block)), F.lit(1))
+    most = F.create_map(*[F.lit(x) for d, k in rows_of.items() for x in (d, k)]) if rows_of else F.lit(None).cast("map<int,int>")
+    split = F.greatest(F.ceil(F.col("k") / (2 * F.try_element_at(most, F.col("dim")))), F.lit(1))
     dealt = dealt.join(slabs, ["dim", "slab"]).withColumn("piece", F.pmod(F.xxhash64("node"), split)).drop("k")
     blocks = dealt.groupBy("dim", "slab", "piece").agg(F.min("c").alias("low"), F.max("c").alias("high")).collect()  # one small row for each block
     gap = float(np.sqrt(max(0.0, 2 - 2 * threshold))) + SLACK
@@ -215,7 +224,7 @@ def link_vectors(vectors: DataFrame, *, threshold: float = 0.95, block: int = 40
     return found.where("links > 0").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links")), found.where("b is not null").select("a", "b")
 
 
-def embedding_components(vectors: DataFrame, *, id_col: str = "vec_id", vec_col: str = "embedding", threshold: float = 0.95, block: int = 4096) -> DataFrame:
+def embedding_components(vectors: DataFrame, *, id_col: str = "vec_id", vec_col: str = "embedding", threshold: float = 0.95, block: int | None = None) -> DataFrame:
     """One row per vector: id, n_links (other vectors linked directly), component_id (smallest id reachable), kept (id = component_id).
 
     Vectors that are null, empty, zero, or hold null or non-finite components link with nothing, nor do vectors of
@@ -223,7 +232,8 @@ def embedding_components(vectors: DataFrame, *, id_col: str = "vec_id", vec_col:
     are counted, not listed. Repeated rows count as vectors of their own. A row without id has a null component and is kept.
     Rows that share an id but not the vector share their component and the sum of their links. The empty table gives the empty table.
     """
-    rows = vectors.select(F.col(id_col).cast("long").alias("__id"), F.col(id_col), F.col(vec_col).cast("array<double>").alias("embedding"))
+    given = vectors.schema[vec_col].dataType.simpleString()
+    rows = vectors.select(F.col(id_col).cast("long").alias("__id"), F.col(id_col), F.col(vec_col).cast(given if given == "array<float>" else "array<double>").alias("embedding"))
     good = rows.where(sound("embedding") & F.col("__id").isNotNull())
     classes = materialize(good.groupBy("embedding").agg(F.min("__id").alias("least"), F.count("*").alias("n")), "vector-classes")
     classes = classes.withColumn("node", F.col("least"))
