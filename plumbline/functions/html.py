@@ -380,6 +380,97 @@ def product_data(html: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([one(h) for h in html], columns=["name", "description", "price", "currency", "brand", "sku", "source"], dtype=object)
 
 
+# Types of products in JSON-LD, and keys of objects that describe one.
+PRODUCT_TYPES = ["product", "offer", "aggregateoffer", "itemlist", "individualproduct"]
+NAME_KEYS = ["name", "title", "наименование", "название"]
+PRODUCT_KEYS = ["sku", "price", "offers", "characteristics", "specifications", "specs", "артикул", "цена", "характеристики", "properties", "params"]
+#: Sources of data in scripts, in the order in which they count, and how their places begin.
+STATES = [("nuxt", [r"window\.__NUXT__\s*="]), ("initial_state", [r"window\.__INITIAL_STATE__\s*=", r"window\.__PRELOADED_STATE__\s*="])]
+
+
+def loose_json(text: str):
+    """The JSON value at the beginning of a text, with commas before closing brackets allowed; None if there is none."""
+    for t in (text, re.sub(r",\s*([}\]])", r"\1", text)):
+        try:
+            return json.JSONDecoder().raw_decode(t.lstrip())[0]
+        except ValueError:
+            pass
+    return None
+
+
+def islands(html: str | None) -> dict[str, list]:
+    """Data in a page's scripts, by source: JSON-LD objects of products, the state of page builders, and other JSON."""
+    out: dict[str, list] = {k: [] for k in ("json_ld", "next_data", "nuxt", "initial_state", "inline_json")}
+    for n in parse(html).walk():
+        kind, body = (n.attrs.get("type") or "").lower(), "".join(k for k in n.kids if isinstance(k, str))
+        if n.tag != "script":
+            continue
+        value = loose_json(body) if "json" in kind or n.attrs.get("id") == "__NEXT_DATA__" else None
+        if "ld+json" in kind:
+            tops = value if isinstance(value, list) else value.get("@graph", [value]) if isinstance(value, dict) else []
+            for x in tops if isinstance(tops, list) else []:
+                own = x.get("@type") or "" if isinstance(x, dict) else ""
+                if {str(t).lower() for t in (own if isinstance(own, list) else [own])} & set(PRODUCT_TYPES):
+                    out["json_ld"].append(x)
+        elif n.attrs.get("id") == "__NEXT_DATA__" and isinstance(value, dict) and not out["next_data"]:
+            out["next_data"].append(value)
+        if kind == "application/json" and isinstance(value, (dict, list)):
+            out["inline_json"].append(value)
+    for name, places in STATES:
+        for p in places:
+            m = re.search(p + r"[^{]*", html or "")
+            value = loose_json(html[m.end() :]) if m else None
+            if value and not out[name]:
+                out[name].append(value)
+    return out
+
+
+def described_product(value, most_depth: int = 12) -> dict | None:
+    """The first object, from the outside in, that has a name and another key of a product."""
+    stack = [(value, 0)]
+    while stack:
+        x, depth = stack.pop()
+        if depth > most_depth:
+            continue
+        if isinstance(x, dict):
+            keys = {str(k).lower() for k in x}
+            if keys & set(NAME_KEYS) and keys & set(PRODUCT_KEYS):
+                return x
+        inner = list(x.values()) if isinstance(x, dict) else x if isinstance(x, list) else []
+        stack += [(v, depth + 1) for v in reversed(inner)]
+    return None
+
+
+@vectorized("found boolean, name string, price string, currency string, brand string, sku string, description string, specs string, source string, sources array<string>")
+def island_product(html: pd.Series) -> pd.DataFrame:
+    """The product that a page's scripts describe: of JSON-LD the first, else the first fitting object of the other sources in order. found: it has a name, and a price, features or a description."""
+
+    def one(h):
+        data = islands(h)
+        sources, got = [k for k, v in data.items() if v], None
+        if data["json_ld"]:
+            x = data["json_ld"][0]
+            offer = x.get("offers") or {}
+            offer = (offer[0] if offer else {}) if isinstance(offer, list) else offer
+            offer = offer if isinstance(offer, dict) else {}
+            brand = x["brand"].get("name") if isinstance(x.get("brand"), dict) else x.get("brand")
+            specs = {str(p["name"]): p.get("value", "") for p in x.get("additionalProperty") or [] if isinstance(p, dict) and p.get("name")}
+            got = (x.get("name"), offer.get("price"), offer.get("priceCurrency"), brand, x.get("sku") or x.get("mpn"), x.get("description"), specs, "json_ld")
+        else:
+            for source in ("next_data", "nuxt", "initial_state", "inline_json"):
+                x = next((p for p in map(described_product, data[source]) if p), None)
+                if x:
+                    got = (x.get("name") or x.get("title"), x.get("price"), None, None, x.get("sku") or x.get("article") or x.get("артикул"), x.get("description"), x.get("characteristics") or x.get("properties") or {}, source)
+                    break
+        if not got:
+            return [False, *[None] * 8, sources]
+        name, price, currency, brand, sku, description, specs, source = got
+        text = [None if v is None else str(v) for v in (name, price, currency, brand, sku, description)]
+        return [bool(name and (price is not None or specs or description)), *text, json.dumps(specs, ensure_ascii=False, sort_keys=True), source, sources]
+
+    return pd.DataFrame([one(h) for h in html], columns=["found", "name", "price", "currency", "brand", "sku", "description", "specs", "source", "sources"], dtype=object)
+
+
 def links_of(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
     """id, pos, href, url (absolute), text: one row for each link, without page-internal, script and mail links."""
     f = pages.select(id_col, url_col, page_features(F.col(html_col)).alias("f")).select(id_col, absolute_url(F.col(url_col), F.coalesce("f.base", F.col(url_col))).alias("__b"), F.explode("f.links").alias("l"))

@@ -189,3 +189,11 @@ def payloads(company: DataFrame, suppliers: DataFrame, products: DataFrame) -> D
 def data_version(payload: Column, explicit: Column) -> Column:
     """The version that data names, else a digest of its canonical JSON."""
     return F.coalesce(F.nullif(explicit, F.lit("")), F.sha2(jsonx.canonical_json(payload), 256))
+
+
+def page_versions(pages: DataFrame, stored: DataFrame, folder: str) -> DataFrame:
+    """pages (url, digest and more) with path and is_new: a page whose url is stored with the same digest, a null one too, keeps the first path there; others get one by their digest."""
+    known = stored.groupBy("url", "digest").agg(F.min("path").alias("__path")).withColumnsRenamed({"url": "__url", "digest": "__digest"})
+    j = pages.join(known, (pages["url"] == known["__url"]) & pages["digest"].eqNullSafe(known["__digest"]), "left")
+    own = F.concat(F.lit(folder.rstrip("/") + "/"), F.sha2(F.concat_ws("\n", "url", F.coalesce("digest", F.lit(""))), 256), F.lit(".html"))
+    return j.select(*[pages[c] for c in pages.columns], F.coalesce("__path", own).alias("path"), F.col("__path").isNull().alias("is_new"))

@@ -17,11 +17,17 @@ def ratio(a: Column, b: Column, digits: int = 4) -> Column:
 def run_summary(df: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Of records (status, products, seconds, name, ord): done, zero, zero_percent, failed, products, median_seconds, zero_names (first 50 by ord)."""
     zero = F.coalesce("products", F.lit(0)) == 0
-    names = F.transform(F.slice(F.array_sort(F.collect_list(F.when(zero, F.struct("ord", "name")))), 1, 50), lambda x: x["name"])
-    return df.groupBy(*(by or [])).agg(
+    keys = by or []
+    df = df.withColumn("__all", F.lit(1))
+    base = df.groupBy("__all", *keys).agg(
         F.count("*").alias("done"), F.count_if(zero).alias("zero"), F.bround(F.count_if(zero) * 100.0 / F.count("*"), 1).alias("zero_percent"), F.count_if(F.col("status") != "success").alias("failed"),
-        F.coalesce(F.sum("products"), F.lit(0)).alias("products"), F.bround(F.percentile("seconds", 0.5), 1).alias("median_seconds"), names.alias("zero_names"),
+        F.coalesce(F.sum("products"), F.lit(0)).alias("products"), F.bround(F.percentile("seconds", 0.5), 1).alias("median_seconds"),
     )
+    # At most 50 rows of a group leave any task.
+    firsts = df.where(zero).withColumn("__rn", F.row_number().over(W.partitionBy("__all", *keys).orderBy("ord", "name"))).where(F.col("__rn") <= 50)
+    names = firsts.groupBy("__all", *keys).agg(F.transform(F.sort_array(F.collect_list(F.struct("__rn", "name"))), lambda x: x["name"]).alias("zero_names"))
+    same = [base[k].eqNullSafe(names[k]) for k in ("__all", *keys)]
+    return base.join(names, same, "left").select(*[base[k] for k in keys], "done", "zero", "zero_percent", "failed", "products", "median_seconds", F.coalesce("zero_names", F.array().cast("array<string>")).alias("zero_names"))
 
 
 def errors_by_module(df: DataFrame, message: str, modules: list[str], samples: int = 3) -> DataFrame:
@@ -59,9 +65,10 @@ def exclusive_quantile(values: Column, parts: int, k: int) -> Column:
 
 
 def corpus_summary(df: DataFrame, by: list[str], value: str) -> DataFrame:
-    """by, n, median, p10, p90 (exclusive, from ten values on). Gathers one group's values, one double each; for groups beyond memory use percentile_approx."""
-    told = df.where(F.col(value).isNotNull()).groupBy(*by).agg(F.count("*").alias("n"), F.percentile(value, 0.5).alias("median"), F.array_sort(F.collect_list(F.col(value).cast("double"))).alias("__v"))
-    return told.select(*by, "n", "median", *[F.when(F.col("n") > 9, exclusive_quantile(F.col("__v"), 10, k)).alias(name) for k, name in ((1, "p10"), (9, "p90"))])
+    """by, n, median, p10, p90 (exclusive, from ten values on). By ranks, so that no group is gathered."""
+    told = df.where(F.col(value).isNotNull()).groupBy(*by).agg(F.count("*").alias("n"), F.percentile(value, 0.5).alias("median"))
+    cuts = quantiles_by_rank(df.withColumn(value, F.col(value).cast("double")), by, value).where(F.col("k").isin(1, 9)).groupBy(*by).agg(*[F.max(F.when(F.col("k") == k, F.col("q"))).alias(name) for k, name in ((1, "p10"), (9, "p90"))])
+    return told.join(cuts, by, "left").select(*by, "n", "median", *[F.when(F.col("n") > 9, F.col(c)).alias(c) for c in ("p10", "p90")])
 
 
 def quantiles_by_rank(df: DataFrame, by: list[str], value: str, parts: int = 10) -> DataFrame:

@@ -86,7 +86,7 @@ _PAGES = [
 
 def _told(pages: DataFrame) -> DataFrame:
     """Pages with what they hold, parsed once for each question."""
-    pages = pages.withColumn("s", H.page_signs(F.col("html"))).withColumn("product", H.product_data(F.col("html"))["source"].isNotNull())
+    pages = pages.withColumn("s", H.page_signs(F.col("html"))).withColumn("product", H.island_product(F.col("html"))["found"])
     pages = pages.withColumn("problem", text.page_problem(F.col("html"), F.col("s.headings"), F.col("s.visible"), F.col("s.challenge_form")))
     return pages.withColumn("gone", text.soft_not_found(F.col("s.headings"), F.col("product")))
 
@@ -155,3 +155,14 @@ by_hand("census_verdicts", _CENSUS, {k: (lambda p, c, f, x, h, r, a, al, k=k: qu
     ((50, 10, 40, 0.0, 0.0, None, None, "секция contacts: 0 страниц"), ("Обработан, карточки получены", "Категоризация URL", "Да, с оговорками", "категоризация URL шумит: 40 «товарных» стр. -> 10 карточек; секция contacts: 0 страниц")),
     ((50, 10, 20, 0.0, 0.0, None, None, "other"), ("Обработан, карточки получены", "—", "Да", "—")), ((None, None, None, None, None, None, None, None), ("Сайт недоступен", "Краулер/доступность", "Нет", "краулер собрал 0 стр. (SPA/JS-рендер или блокировка)")),
 ])
+
+_FIELDS = ("found", "name", "price", "sku", "source")
+by_hand("data_islands", "html string", {f"island_{k}": (lambda h, k=k: F.col(f"p.{k}"), "boolean" if k == "found" else "string") for k in _FIELDS} | {"sources": (lambda h: F.array_join("p.sources", "|"), "string")}, [
+    (("<script type='application/ld+json'>{\"@type\": \"Product\", \"name\": \"N\", \"offers\": [{\"price\": 5}], \"mpn\": \"m\",}</script>",), (True, "N", "5", "m", "json_ld", "json_ld")),
+    (("<script type='application/ld+json'>{\"@graph\": [{\"@type\": \"Organization\", \"name\": \"O\"}, {\"@type\": [\"Offer\"], \"name\": \"P\"}]}</script>",), (False, "P", None, None, "json_ld", "json_ld")),
+    (("<script id='__NEXT_DATA__' type='application/json'>{\"a\": [{\"title\": \"T\", \"price\": 7.5}]}</script>",), (True, "T", "7.5", None, "next_data", "next_data|inline_json")),
+    (("<script>window.__NUXT__ = {\"d\": {\"name\": \"X}\", \"sku\": \"s1\", \"description\": \"d\"}}; var b = {};</script>",), (True, "X}", None, "s1", "nuxt", "nuxt")),
+    (("<script>window.__PRELOADED_STATE__={\"name\": \"Y\", \"params\": 1,}</script>",), (False, "Y", None, None, "initial_state", "initial_state")),
+    (("<script type='application/json'>[{\"name\": \"no sign\"}, {\"Name\": \"Z\", \"Price\": 1}]</script>",), (False, None, None, None, "inline_json", "inline_json")),
+    (("<script>var a = 1;</script><p>name price</p>",), (False, None, None, None, None, "")), ((None,), (False, None, None, None, None, "")),
+], lambda df: df.withColumn("p", H.island_product(F.col("html"))))

@@ -253,3 +253,11 @@ def profile_alerts(t):
         f"case when {k} > 45 then 0.9D else 0.1D end as sitemap_empty_rate",
     )
     return quality.run_alerts(m)
+
+
+@query("""WITH p AS (SELECT page_id, url, CASE WHEN page_id % 7 <> 0 THEN md5(html) END AS digest FROM pages), s AS (SELECT url, digest, min('/old/' || page_id) AS path FROM (SELECT page_id, url, CASE WHEN page_id % 14 = 0 THEN NULL WHEN page_id % 3 = 0 THEN 'x' ELSE md5(html) END AS digest FROM pages WHERE page_id % 2 = 0) GROUP BY 1, 2)
+SELECT page_id, s.path IS NULL AS is_new, coalesce(s.path, '/new/' || sha256(p.url || chr(10) || coalesce(p.digest, '')) || '.html') AS path FROM p LEFT JOIN s ON p.url = s.url AND p.digest IS NOT DISTINCT FROM s.digest""")
+def page_versions(t):
+    pages = t("pages").selectExpr("page_id", "url", "case when page_id % 7 <> 0 then md5(html) end as digest")
+    stored = t("pages").where("page_id % 2 = 0").selectExpr("url", "case when page_id % 14 = 0 then null when page_id % 3 = 0 then 'x' else md5(html) end as digest", "concat('/old/', page_id) as path")
+    return catalog.page_versions(pages, stored, "/new/").select("page_id", "is_new", "path")

@@ -105,6 +105,8 @@ def test_states_and_sinks(spark, tmp_path):
     items = spark.createDataFrame([(1, "reserved"), (2, "sending"), (3, "delivered")], "item_id int, state string")
     moves = spark.createDataFrame([(1, "sending"), (2, "delivered"), (3, "reserved")], "item_id int, to string")
     assert dict(rows(sinks.transition(items, moves))) == {1: "sending", 2: "delivered", 3: "delivered"}
+    several = spark.createDataFrame([(1, "sending", 1), (1, "failed", 2), (1, "reserved", 3), (2, "failed", 9), (2, "delivered", 8), (3, "sending", 1)], "item_id int, to string, ord int")
+    assert dict(rows(sinks.transition(items, several, "ord"))) == {1: "reserved", 2: "delivered", 3: "delivered"}
     sinks.append_records(spark.createDataFrame([("c", "success")], "company_id string, status string"), str(tmp_path / "runs"), "r1")
     (tmp_path / "runs" / "run_id=r1" / "part-torn.json").write_text('\n{"company_id": "torn')
     got = readers.run_log(spark, str(tmp_path / "runs" / "run_id=r1")).collect()
