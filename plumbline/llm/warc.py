@@ -151,19 +151,26 @@ def parse(raw: bytes) -> dict:
     return out
 
 
-def write_archives(pages: DataFrame, *, least_bytes: int = 0, archive_bytes: int = 4 << 20) -> DataFrame:
+def write_archives(pages: DataFrame, *, least_bytes: int = 0, archive_bytes: int = 4 << 20, most_broadcast: int = 200_000) -> DataFrame:
     """(archive, content) for pages (page_id, url, html): each row becomes one record, with the html in UTF-8 as payload (null: empty).
 
     Of records with equal payloads of at least least_bytes, that with the smallest page_id is a response and the others
     revisit it; rows that share that page_id are all responses, and so are rows without any smallest. A null url makes no
-    target field. Archives hold about archive_bytes of records, one record at least. The empty table gives no archives.
+    target field. Archives hold about archive_bytes of records, one record at least. The empty table gives no archives. Columns
+    other than the three are not read.
+
+    Digests that occur more than once are sent to the pages by a broadcast up to most_broadcast of them (about 100 bytes each),
+    so payloads stay where they are read; beyond that the pages are dealt by digest.
     """
     kind = pages.schema["page_id"].dataType.simpleString()
     small_batches(pages.sparkSession)
     payload = F.encode(F.coalesce("html", F.lit("")), "utf-8")
     rows = pages.select("page_id", "url", payload.alias("payload")).withColumn("digest", F.sha1("payload"))
-    # Only payloads that occur more than once are joined back; the minimum is a partial aggregate, so a hot payload meets no single task.
+    # Only payloads that occur more than once are joined back; the minimum is a partial aggregate.
     first = rows.where(F.octet_length("payload") >= least_bytes).groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").select("digest", "first")
+    first = materialize(first, "repeated-payloads")
+    if first.count() <= most_broadcast:
+        first = F.broadcast(first)
     told = rows.join(first, "digest", "left").withColumn("first", F.when(F.octet_length("payload") >= least_bytes, F.col("first")))
     told = told.withColumn("revisit", F.col("first").isNotNull() & ~F.col("first").eqNullSafe(F.col("page_id")))
 
@@ -202,9 +209,9 @@ def read_archives(archives: DataFrame, *, id_type: str = "bigint", with_payload:
     name = "archive" if "archive" in archives.columns else "path"
     small_batches(archives.sparkSession)
 
-    def page(urn: str | None) -> int | None:
-        m = re.fullmatch(r"<urn:page:(-?\d+)>", urn or "")
-        return int(m[1]) if m else None
+    def page(urn: str | None) -> int | str | None:
+        m = re.fullmatch(r"<urn:page:(.*)>" if id_type == "string" else r"<urn:page:(-?\d+)>", urn or "")
+        return None if not m else m[1] if id_type == "string" else int(m[1])
 
     def one(raw: bytes) -> tuple:
         p = parse(raw)
@@ -212,7 +219,8 @@ def read_archives(archives: DataFrame, *, id_type: str = "bigint", with_payload:
         return (page(f["warc-record-id"]), f.get("warc-target-uri"), p["type"], page(f.get("warc-refers-to")), p["payload"] if with_payload else None, p["bytes"], p["digest"])
 
     def run(batches):
-        types = [pa.int64() if id_type == "bigint" else pa.int32(), pa.string(), pa.string(), pa.int64() if id_type == "bigint" else pa.int32(), pa.binary(), pa.int64(), pa.string(), pa.string(), pa.string()]
+        own = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[id_type]
+        types = [own, pa.string(), pa.string(), own, pa.binary(), pa.int64(), pa.string(), pa.string(), pa.string()]
         for b in batches:
             for which, content in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 rows = []

@@ -23,7 +23,7 @@ def test_round_trip(spark):
     rng = random.Random(1)
     rows = [(i, f"https://a.example/{i}?q=\n", "".join(rng.choice("<p>ab é\n") for _ in range(rng.randint(0, 300)))) for i in range(200)]
     rows += [(1000 + i, None, "the same page") for i in range(40)] + [(2000, "u", None), (2001, "u", ""), (2002, "u", "x" * 3_000_000), (2002, "u", "x" * 3_000_000), (None, "u", "alone"), (None, "u", "the same page")]
-    for least in (0, 20):
+    for least, most in ((0, 200_000), (20, 200_000), (0, 0)):
         first = {}
         for i, _, h in rows:
             if i is not None:
@@ -33,7 +33,7 @@ def test_round_trip(spark):
             raw = h or ""
             revisit = len(raw.encode()) >= least and raw in first and first[raw] != i
             want.append((i, u and u.replace("\n", "%0A"), "revisit" if revisit else "response", first[raw] if revisit else None, None if revisit else bytearray(raw.encode()), len(raw.encode()), digest(h), None))
-        assert run(spark, rows, least_bytes=least, archive_bytes=20_000) == sorted(want, key=str)
+        assert run(spark, rows, least_bytes=least, archive_bytes=20_000, most_broadcast=most) == sorted(want, key=str)
     assert run(spark, []) == []
 
 
@@ -74,3 +74,10 @@ def test_files(spark, tmp_path):
     warc.export(warc.write_archives(pages), str(tmp_path))
     back = warc.read_archives(spark.read.format("binaryFile").load(f"{tmp_path}/*.warc.zst"))
     assert sorted(bytes(r.payload).decode() for r in back.collect()) == sorted(f"page {i}" for i in range(30))
+
+
+def test_ids_of_other_types(spark):
+    for kind, ids in (("string", ["a", "b-1", "7"]), ("int", [5, -3, 9])):
+        pages = spark.createDataFrame([(i, "u", "same") for i in ids], f"page_id {kind}, url string, html string")
+        got = {r.page_id: (r.record_type, r.refers_to) for r in warc.read_archives(warc.write_archives(pages), id_type=kind).collect()}
+        assert got == {i: ("response", None) if i == min(ids) else ("revisit", min(ids)) for i in ids}
