@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.llm.components import connected_components
-from plumbline.llm.store import discard, materialize, shuffle_partitions, small_batches, table
+from plumbline.llm.store import discard, join_skewed, materialize, shuffle_partitions, small_batches, table
 
 #: _BITS[v, k] is bit k of byte v.
 _BITS = (np.arange(256)[:, None] >> np.arange(8) & 1).astype(np.int64)
@@ -489,7 +489,7 @@ def near_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         links = links.unionAll(materialize(tiled.mapInArrow(tiles, "a long, b long").distinct(), "tile-links"))
         roots = connected_components(links)
     named = classes.join(roots.withColumnRenamed("node", "__node"), F.col("node").cast("long") == F.col("__node"), "left").select("k", "l", F.coalesce("root", F.col("node").cast("long")).alias("component_id"))
-    out = materialize(sets.select(id_col, "k", "l").join(named, ["k", "l"]).select(id_col, "component_id"), "near-components")
+    out = materialize(join_skewed(sets.select(id_col, "k", "l"), named, ["k", "l"]).select(id_col, "component_id"), "near-components")
     for t in (sets, classes, shared, marks, tried, near, links, more):
         discard(t)
     return out
@@ -510,7 +510,7 @@ def simhash_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     names = members.groupBy("root").agg(F.min("least").alias("name"))
     named = members.join(names, "root").select("fp", "name")
     component = classes.join(named, "fp", "left").select("fp", F.coalesce("name", "least").alias("component_id"))
-    out = fps.join(component, "fp")
+    out = join_skewed(fps, component, ["fp"])
     return out.select(id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 

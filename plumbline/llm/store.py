@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -38,6 +39,16 @@ def discard(df: DataFrame) -> None:
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def join_skewed(rows: DataFrame, lookup: DataFrame, on: list[str], share: int = 10_000) -> DataFrame:
+    """rows joined to lookup, which has one row for each key. Keys that hold over one in `share` of the rows, so `share` keys at most, are joined by a broadcast, the others by key; rows without a match, or with a null key, go.
+
+    rows is read three times, so it should be a table.
+    """
+    often = rows.groupBy(*on).agg(F.count("*").alias("__n")).where(F.col("__n") > rows.count() / share).select(*on)
+    hot = lookup.join(F.broadcast(often), on, "left_semi")
+    return rows.join(F.broadcast(hot), on).unionByName(rows.join(F.broadcast(often), on, "left_anti").join(lookup, on))
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
