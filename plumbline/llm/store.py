@@ -53,7 +53,7 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def small_batches(spark: SparkSession, rows: int = 2000, size: int = 16 << 20) -> None:
+def small_batches(spark: SparkSession, rows: int = 1000, size: int = 4 << 20) -> None:
     """Arrow batches of bounded rows and bytes, so that a worker holds little text at once however long single texts are."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
