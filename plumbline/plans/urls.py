@@ -189,7 +189,7 @@ def html_tables(t):
 
 
 @query("""WITH p AS (SELECT page_id, url, lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1)) AS path, """ + f"""{_H} AS host FROM pages)
-SELECT page_id, row_number() OVER (PARTITION BY page_id % 10 ORDER BY CASE WHEN regexp_matches(host, '(^|\.)example\.net$') THEN 0 ELSE 1 END, CASE WHEN regexp_matches(path, 'product|catalog|katalog|shop|iblock|tovar') THEN 0 ELSE 1 END,
+SELECT page_id, row_number() OVER (PARTITION BY page_id % 10 ORDER BY CASE WHEN regexp_matches(host, '(^|\\.)example\\.net$') THEN 0 ELSE 1 END, CASE WHEN regexp_matches(path, 'product|catalog|katalog|shop|iblock|tovar') THEN 0 ELSE 1 END,
  CASE WHEN regexp_matches(path, 'attachment|media|news|blog|author|tag|feed') THEN 1 ELSE 0 END, url, page_id)::INT AS rank FROM p""")
 def sitemap_sources(t):
     from pyspark.sql import Window
